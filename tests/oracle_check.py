@@ -1,0 +1,80 @@
+"""Compare queries with their SQL: row count, columns and values in any order.
+
+    python tests/oracle_check.py /root/testdata/sf0.01 [query ...]
+"""
+
+from __future__ import annotations
+
+import os
+import sys
+import time
+
+import duckdb
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"create view {name} as select * from '{sf_dir}/{name}.parquet'")
+    return connection
+
+
+def canonical(columns: list[str], rows) -> list[tuple]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted((tuple(row[i] for i in order) for row in rows),
+                  key=lambda row: tuple((v is None, str(type(v)), v if v is not None else 0) for v in row))
+
+
+def compare(df, connection, sql: str) -> str:
+    """Empty when equal, else what differs."""
+    relation = connection.sql(sql)
+    columns, expected = list(relation.columns), relation.fetchall()
+    if sorted(df.columns) != sorted(columns):
+        return f"columns {sorted(df.columns)} != {sorted(columns)}"
+    kinds = {name: str(kind) for name, kind in zip(columns, relation.types)}
+    spark_kinds = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                   "boolean": "BOOLEAN"}
+    odd = {n: (t, kinds[n]) for n, t in df.dtypes if spark_kinds.get(t) != kinds[n]}
+    if odd:
+        return f"types {odd}"
+    got, want = canonical(df.columns, df.collect()), canonical(columns, expected)
+    if len(got) != len(want):
+        return f"{len(got)} rows != {len(want)}"
+    wrong = [pair for pair in zip(got, want) if pair[0] != pair[1]]
+    return f"{len(wrong)} rows differ, first {wrong[0]}" if wrong else ""
+
+
+def main() -> int:
+    import __spark_entry__ as entry
+    from tallyrate.session import build_session
+
+    sf_dir, wanted = sys.argv[1], sys.argv[2:]
+    spark = build_session("oracle-check", "local[8]", {
+        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
+        "spark.ui.enabled": "false"})
+    spark.sparkContext.setLogLevel("ERROR")
+    connection = connect(sf_dir)
+    failed = 0
+    for name, function in entry.queries().items():
+        if wanted and name not in wanted:
+            continue
+        start = time.time()
+        try:
+            df = function(spark, sf_dir)
+            sql = entry.oracle_sql().get(name)
+            outcome = compare(df, connection, sql) if sql else f"rows only: {df.count()}"
+            failed += bool(sql and outcome)
+        except Exception as error:  # reported, and counted as a failure
+            outcome, failed = f"{type(error).__name__}: {str(error)[:600]}", failed + 1
+        print(f"{name:28s} {time.time() - start:6.2f}s  {outcome or 'ok'}", flush=True)
+    return failed
+
+
+if __name__ == "__main__":
+    sys.exit(main())
