@@ -40,8 +40,8 @@ def margin_bucket(margin: Column, width: int = MARGIN_WIDTH) -> Column:
 
 
 def clamp(value: Column, low: int, high: int) -> Column:
-    # greatest/least skip nulls, hence the guard
-    return F.when(value.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), value)))
+    """Null stays null (greatest/least would skip it)."""
+    return F.when(value > high, F.lit(high)).when(value < low, F.lit(low)).otherwise(value)
 
 
 def clamp_margin(bucket: Column, limit: int = MARGIN_LIMIT) -> Column:

@@ -28,7 +28,7 @@ def definitions() -> dict[str, str]:
             "try_cast(CASE WHEN m = 'TIE' THEN '0' ELSE m END AS DOUBLE)",
         "margin_bucket(m DOUBLE) RETURNS INT": f"try_cast(m / {S.MARGIN_WIDTH} AS INT)",
         "clamp_margin(b INT) RETURNS INT":
-            f"CASE WHEN b IS NOT NULL THEN greatest(-{limit}, least({limit}, b)) END",
+            f"CASE WHEN b > {limit} THEN {limit} WHEN b < -{limit} THEN -{limit} ELSE b END",
         "clamp_period(p INT) RETURNS INT":
             f"CASE WHEN p > {S.LAST_PERIOD} THEN {S.LAST_PERIOD} ELSE p END",
         "distance_bin(d DOUBLE) RETURNS INT": _distance_case(),

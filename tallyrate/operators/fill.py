@@ -2,44 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyrate.storage import written_table
 
 GROUP_ROWS = 1_000_000
 
+# Up to this many large groups are told apart by a broadcast list of their keys.
+LISTED_GROUPS = 100_000
+
 
 def forward_fill(log: DataFrame, value: str, group: str, order: str, default: str = "0",
-                 group_rows: int = GROUP_ROWS) -> DataFrame:
+                 group_rows: int = GROUP_ROWS, listed_groups: int = LISTED_GROUPS) -> DataFrame:
     """Missing values take the last earlier one of their group, or `default`.
 
     Groups up to `group_rows` rows are one window partition each. Larger groups
     are cut along the whole-number `order` column, unique within a group, into
     blocks of `group_rows` order values; blocks are filled side by side and the
-    last value of each is handed on through a table with one row per block.
+    last value of each is handed on through a table with one row per block. With
+    more than `listed_groups` large groups, every group is cut.
     """
     sizes = log.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
     large = written_table(sizes.where(F.col("_n") > group_rows).select(group), "large-groups")
-    if large.isEmpty():
+    large_groups = large.count()
+    if large_groups == 0:
         return log.withColumn(value, F.coalesce(_last_so_far(value, order, group), F.lit(default)))
 
     block = F.floor(F.col(order) / group_rows)
-    cut = log.join(large.withColumn("_large", F.lit(True)), group, "left").withColumn(
-        "_block", F.when(F.col("_large"), block).otherwise(F.lit(0))).drop("_large")
-    blocks = log.join(large, group, "left_semi").groupBy(group, block.alias("_block")).agg(
-        F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(order))).alias("_last"))
+    if large_groups <= listed_groups:
+        listed = F.broadcast(large.withColumn("_large", F.lit(True)))
+        cut = log.join(listed, group, "left").withColumn(
+            "_block", F.when(F.col("_large"), block)).drop("_large")
+    else:
+        cut = log.withColumn("_block", block)
+
+    blocks = cut.where(F.col("_block").isNotNull()).groupBy(group, "_block").agg(
+        F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("_last"))
     before = Window.partitionBy(group).orderBy("_block").rowsBetween(
         Window.unboundedPreceding, -1)
     carried = written_table(blocks.select(
         group, "_block", F.last("_last", ignorenulls=True).over(before).alias("_carried")),
         "carried-values")
-    return cut.withColumn(value, _last_so_far(value, order, group, "_block")).join(
-        carried, [group, "_block"], "left").withColumn(
+    filled = cut.withColumn(value, _last_so_far(value, order, group, "_block"))
+    return filled.join(carried, [group, "_block"], "left").withColumn(
         value, F.coalesce(value, "_carried", F.lit(default))).select(*log.columns)
 
 
-def _last_so_far(value: str, order: str, *groups: str):
+def _last_so_far(value: str, order: str, *groups: str) -> Column:
     so_far = Window.partitionBy(*groups).orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return F.last(value, ignorenulls=True).over(so_far)

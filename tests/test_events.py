@@ -1,0 +1,156 @@
+"""Forward fill, matching and the whole preparation against brute force."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyrate.operators import matching, text
+from tallyrate.operators.fill import forward_fill
+from tallyrate.plans import prep
+
+
+def filled_by_loop(rows):
+    """Row by row: a missing margin takes the previous one of the game, '0' at first."""
+    out, last = [], {}
+    for game, num, margin in sorted(rows, key=lambda r: (r[0], r[1])):
+        last[game] = margin if margin is not None else last.get(game, "0")
+        out.append((game, num, last[game]))
+    return out
+
+
+def skewed_log(count=900, seed=2):
+    """One game holds most of the events; another starts late and has gaps."""
+    draw = random.Random(seed)
+    rows = []
+    for num in draw.sample(range(5_000), count):
+        game = "hot" if draw.random() < 0.7 else draw.choice(["a", "b", "c"])
+        rows.append((game, num, draw.choice([None, None, None, None, "TIE", "3", "-2"])))
+    return rows + [("never", i, None) for i in range(40)]
+
+
+@pytest.mark.parametrize("group_rows, listed_groups", [(10_000, 10), (100, 10), (30, 0), (1, 10)])
+def test_forward_fill_equals_the_loop(spark, rows_of, group_rows, listed_groups):
+    rows = skewed_log()
+    log = spark.createDataFrame(rows, "g string, n bigint, m string").repartition(5)
+    out = forward_fill(log, "m", "g", "n", group_rows=group_rows, listed_groups=listed_groups)
+    assert out.columns == ["g", "n", "m"]
+    assert sorted(tuple(r) for r in out.collect()) == sorted(filled_by_loop(rows))
+
+
+def test_first_per_game(spark, rows_of):
+    df = spark.createDataFrame([(1, 2, "O"), (1, 1, "F"), (2, 5, "O")], "g int, n int, htm string")
+    assert rows_of(matching.first_per_game(df, "htm", "g", "n")) == [(1, "F"), (2, "O")]
+
+
+def test_subject_side_and_filters(spark):
+    df = spark.createDataFrame([
+        (1, "O", "MISS user", None, 1), (2, "F", "MISS user", None, None),
+        (3, "F", None, "user (3 PTS)", 10), (4, "O", None, "user", 2), (5, None, "x", "user MISS ", 3),
+    ], "i int, htm string, home string, away string, code int")
+
+    def kept(frame):
+        return sorted(r.i for r in frame.collect())
+    assert kept(df.where(matching.subject_side("user", F.col("htm") == "O", "home", "away"))) == [1, 3, 5]
+    assert kept(matching.without_codes(df, "code")) == [1, 2, 4, 5]
+    assert kept(matching.either_side_matches(df, "home", "away")) == [1, 2, 3, 5]
+
+
+def test_semi_join_keeps_rows_once(spark, rows_of):
+    log = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "n int, time string")
+    keys = spark.createDataFrame([("a",), ("a",), ("c",), (None,)], "time string")
+    assert rows_of(matching.with_known_keys(log, keys, "time").select("n")) == [(1,), (2,)]
+
+
+def test_attach_keeps_every_copy(spark, monkeypatch):
+    monkeypatch.setattr(matching, "COPIES", 3)
+    rows = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, "z"), (5, None)], "n int, k string")
+    lookup = spark.createDataFrame(
+        [("a", "x")] * 7 + [("a", "y"), ("a", None), ("b", "x"), (None, "q")], "k string, v string")
+    plain = rows.join(lookup, "k", "left")
+    joined = matching.attach(rows, lookup, "k", "v")
+    assert joined.columns == plain.columns
+    assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+    assert joined.count() == 9 + 9 + 1 + 1 + 1
+
+
+def test_differing_counts(spark, rows_of):
+    first = spark.createDataFrame([("a",), ("a",), ("b",), ("c",)], "g string")
+    second = spark.createDataFrame([("a",), ("b",), ("d",)], "g string")
+    assert rows_of(matching.differing_counts(first, second, "g")) == [
+        ("a", 2, 1), ("c", 1, None), ("d", None, 1)]
+
+
+LOG = [
+    # game, num, period, clock, margin, home, visitor, code
+    ("001", 1, 1, "11:30", None, None, "tip", 1),
+    ("001", 2, 1, "11:05", None, "MISS user", None, 2),
+    ("001", 3, 1, "10:00", "3", "user (3 PTS)", None, 1),
+    ("001", 4, 1, "9:59", None, "user Free Throw (1 PTS)", None, 10),
+    ("001", 5, 1, "9:58", None, "MISS user", None, None),
+    ("001", 6, 1, "9:58", "TIE", "user 2 PTS", None, 1),
+    ("001", 7, 2, "0:07", None, None, "MISS user", 1),
+    ("002", 1, 1, "5:00", "TIE", "MISS user", None, 1),
+    ("002", 2, 1, "4:59", None, None, "MISS user", 1),
+    ("002", 3, 1, "4:58", "-4", None, "MISSED user", 1),
+    ("002", 4, 1, "4:57", None, None, "user (1 PTS)", 11),
+]
+MADE_AT = [
+    # index, game, period, minutes, seconds, home team
+    (0, 1, 1, 11, 5, "O"), (1, 1, 1, 10, 0, "O"), (2, 1, 1, 9, 59, "O"), (3, 1, 1, 9, 58, "O"),
+    (4, 1, 2, 0, 7, "O"), (5, 2, 1, 5, 0, "F"), (6, 2, 1, 4, 59, "F"), (7, 2, 1, 4, 58, "F"),
+    (8, 2, 1, 4, 57, "F"), (9, 3, 1, 1, 1, "O"),
+]
+
+
+@pytest.fixture
+def game_tables(spark):
+    log = spark.createDataFrame(
+        list(reversed(LOG)), "GAME_ID string, EVENTNUM bigint, PERIOD int, PCTIMESTRING string, "
+        "SCOREMARGIN string, HOMEDESCRIPTION string, VISITORDESCRIPTION string, EVENTMSGACTIONTYPE int")
+    made_at = spark.createDataFrame(
+        MADE_AT, "index int, game_id int, period int, minutes_remaining int, seconds_remaining int, htm string")
+    return made_at, log
+
+
+def prepared_by_loop():
+    """The preparation spelt out per game and row."""
+    times = {i: f"00{g}:{p}:{m}:{s:02d}" for i, g, p, m, s, _ in MADE_AT}
+    margins = []
+    for game in ("001", "002"):
+        team = next(row[5] for row in MADE_AT if f"00{row[1]}" == game)
+        last = "0"
+        for gid, _, period, clock, margin, home, visitor, code in LOG:
+            if gid != game:
+                continue
+            last = margin if margin is not None else last
+            time = f"{gid}:{period}:{clock}"
+            side = home if team == "O" else visitor
+            if (time in times.values() and "user" in (side or "") and code not in (10, 11, 12)
+                    and any(re.search("MISS | PTS", d or "") for d in (home, visitor))):
+                margins.append((time, last))
+    merged = []
+    for index, time in times.items():
+        merged += [(index, m) for t, m in margins if t == time] or [(index, None)]
+    return merged, margins
+
+
+@pytest.mark.parametrize("group_rows", [1000, 2])
+def test_preparation_equals_the_loop(game_tables, rows_of, group_rows):
+    made_at, log = game_tables
+    margins = prep.subject_margins(made_at, log, "user", "O", group_rows=group_rows)
+    merged, expected_margins = prepared_by_loop()
+    assert sorted((r.TIME, r.SCOREMARGIN) for r in margins.collect()) == sorted(expected_margins)
+    result = prep.merge_margins(made_at, margins)
+    key = lambda row: (row[0], row[1] or "")
+    assert sorted(((r["index"], r.SCOREMARGIN) for r in result.collect()), key=key) == sorted(merged, key=key)
+    assert rows_of(prep.reconcile(made_at, margins)) == [("001", 5, 4), ("002", 4, 1), ("003", 1, None)]
+
+
+def test_line_counts(spark):
+    texts = spark.createDataFrame([("a\nb\r\nab\n",), ("",), ("c\ra",), (None,)], "t string")
+    lines = text.lines_of(texts, "t")
+    assert tuple(text.contains_counts(lines, "ab").first()) == (3, 2)
