@@ -242,9 +242,15 @@ def frequency_index(spark, sf_dir):
 @query
 def string_index_columns(spark, sf_dir):
     rows = cells(spark, sf_dir).select("attempt_key", "zone", _action_category().alias("category"))
-    indexed = features.index_in_place(rows, ["category", "zone"])
-    return indexed.select("attempt_key", F.col("category").cast("int").alias("category"),
-                          F.col("zone").cast("int").alias("zone"))
+    return features.index_in_place(rows, ["category", "zone"])
+
+
+@query
+def string_index_stage(spark, sf_dir):
+    rows = cells(spark, sf_dir).select("attempt_key", _action_category().alias("category"))
+    indexed = features.string_indexer(["category"]).fit(rows).transform(rows)
+    return indexed.select("attempt_key", "category",
+                          F.col("category_index").cast("int").alias("category_index"))
 
 
 @query

@@ -16,7 +16,7 @@ from tallyrate.plans.learned_zones import CELL as CLUSTER_CELL
 from tallyrate.plans.learned_zones import cluster_rates
 from tallyrate.plans.named_zones import zone_rates
 from tallyrate.sources import files
-from tallyrate.storage import fresh_path, written_table
+from tallyrate.storage import fixed_order_table, fresh_path, written_table
 
 QUERIES = {}
 
@@ -42,7 +42,7 @@ def _importances(model) -> DataFrame:
 def zone_centers_kmeans(spark, sf_dir):
     located = adapters.attempts(spark, sf_dir).where(F.col("loc_y") < 47).select(
         "attempt_key", "loc_x", "loc_y")
-    points = written_table(zones.location_points(located), "points")
+    points = fixed_order_table(zones.location_points(located), "points")
     return zones.assign_zones(located, zones.fit_zones(points, models.SEED))
 
 
@@ -51,6 +51,15 @@ def learned_zone_rates(spark, sf_dir):
     return cluster_rates(adapters.attempts(spark, sf_dir), models.SEED)
 
 
+@query
+def learned_zone_totals(spark, sf_dir):
+    """Totals over all learned zones: clustering moves every attempt, and loses none."""
+    rated = cluster_rates(adapters.attempts(spark, sf_dir), models.SEED, min_support=1,
+                          outcomes="made")
+    return rated.groupBy("dist_bin", "margin_cat", "period").agg(
+        F.sum("total").alias("total"), F.sum("shots").alias("shots"))
+
+
 @query
 def train_forest(spark, sf_dir):
     model, _ = training.train_zone_model(_zone_rates(spark, sf_dir), models.forest())
@@ -105,14 +114,14 @@ def train_from_rate_table(spark, sf_dir):
 
 @query
 def model_roundtrip(spark, sf_dir):
-    """Held-out cells with the prediction of the fitted and of the reloaded model."""
+    """Held-out cells, and whether the reloaded model predicts as the fitted one."""
     model, predicted = training.train_zone_model(_zone_rates(spark, sf_dir), models.forest())
     path = fresh_path(spark, "model")
     models.save(model, path)
     again = models.load(path).transform(predicted.select(
         *CELL, "fg", "x_center_scaled", "y_center_scaled", "margin_scaled",
         F.col("prediction").alias("fitted")))
-    return again.select(*CELL, "fg", "fitted", F.col("prediction").alias("reloaded"))
+    return again.select(*CELL, "fg", (F.col("fitted") == F.col("prediction")).alias("same_prediction"))
 
 
 @query

@@ -250,15 +250,23 @@ ORACLES: dict[str, str] = {
     "string_index_columns": _cells(f"""
         , labelled as (select attempt_key, zone, {CATEGORY} as category from cells),
         categories as (
-          select category, cast(row_number() over (order by count(*) desc, category) - 1 as int) as i
+          select category, row_number() over (order by count(*) desc, category) - 1 as i
           from labelled group by category
         ), zones as (
-          select zone, cast(row_number() over (order by count(*) desc, zone) - 1 as int) as i
+          select zone, row_number() over (order by count(*) desc, zone) - 1 as i
           from labelled group by zone
         )
         select attempt_key, c.i as category, z.i as zone
         from labelled l join categories c on l.category = c.category
                         join zones z on l.zone = z.zone"""),
+    "string_index_stage": _cells(f"""
+        , labelled as (select attempt_key, {CATEGORY} as category from cells),
+        categories as (
+          select category, cast(row_number() over (order by count(*) desc, category) - 1 as int)
+                 as category_index
+          from labelled group by category
+        )
+        select attempt_key, category, category_index from labelled join categories using (category)"""),
     "one_hot": _rates(f"select {CELL}, {FLAGS} from cell_totals"),
     "one_hot_flags": _cells(f"select attempt_key, {FLAGS} from cells"),
     "assemble_features": _features(f"select {CELL}, {FEATURES} from featured"),
@@ -332,6 +340,19 @@ ORACLES: dict[str, str] = {
                count(*) filter (scoremargin is null or actioncode is null) as incomplete,
                count(*) filter (scoremargin is null) as missing_scoremargin,
                count(*) filter (actioncode is null) as missing_actioncode from events_v"""),
+    # models: what must hold whatever the fitted trees and centres are
+    "model_roundtrip": _cells(f"""
+        , marked as (select *, {_bucket('attempt_key')} < 700 as is_train from cells),
+        counted as (
+          select {CELL}, cast(sum(shot_made_flag) as bigint) as shots, count(*) as total
+          from marked where not is_train group by all having count(*) >= 2
+        )
+        select {CELL}, {PCT2.format('shots', 'total')} as fg, true as same_prediction
+        from counted"""),
+    "learned_zone_totals": _attempts(f"""
+        select {BINS} as dist_bin, greatest(-3, least(3, {BUCKET})) as margin_cat, period,
+               count(*) as total, cast(sum(shot_made_flag) as bigint) as shots
+        from attempts_v where loc_y < 47 group by all"""),
     # files and text
     "scan_csv": _attempts("select * from attempts_v"),
     "csv_roundtrip": _events("""

@@ -6,11 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import (MaxAbsScaler, OneHotEncoder, OneHotEncoderModel, StringIndexer,
-                                StringIndexerModel, VectorAssembler, VectorIndexer)
+                                VectorAssembler, VectorIndexer)
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrate.functions import scalars as S
+from tallyrate.operators.indexing import frequency_index
+from tallyrate.storage import written_table
 
 DISTANCE_LEVELS = len(S.DISTANCE_THRESHOLDS) + 1
 MAX_CATEGORIES = 4
@@ -59,17 +61,20 @@ def vector_indexer(input_col: str) -> VectorIndexer:
                          maxCategories=MAX_CATEGORIES, handleInvalid="keep")
 
 
-def string_indexer(df: DataFrame, columns: Sequence[str]) -> StringIndexerModel:
-    """Frequency index of several label columns at once, ties by label. For
-    small label sets; `frequency_index` ranks label sets of any size."""
+def string_indexer(columns: Sequence[str]) -> StringIndexer:
+    """Frequency index as a pipeline stage, ties by label. It gathers the labels
+    on the driver, so it is for label sets known to be small."""
     return StringIndexer(inputCols=list(columns), outputCols=[f"{name}_index" for name in columns],
-                         stringOrderType="frequencyDesc").fit(df)
+                         stringOrderType="frequencyDesc")
 
 
 def index_in_place(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace label columns by their index."""
-    indexed = string_indexer(df, columns).transform(df).drop(*columns)
-    return indexed.withColumnsRenamed({f"{name}_index": name for name in columns})
+    """Replace label columns by their frequency index, whatever the number of
+    labels; a missing label stays missing."""
+    for name in columns:
+        ranks = written_table(frequency_index(df, name, "_rank").drop("n"), "label-ranks")
+        df = df.join(ranks, name, "left").drop(name).withColumnRenamed("_rank", name)
+    return df
 
 
 def level_flags(column: str, levels: Sequence[int], prefix: str) -> list[Column]:

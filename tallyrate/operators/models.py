@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import (GBTRegressor, RandomForestRegressionModel,
+                                   RandomForestRegressor)
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyrate.operators import features
@@ -59,3 +60,8 @@ def save(model, path: str) -> None:
 
 def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def load_forest(path: str) -> RandomForestRegressionModel:
+    """A forest saved without its pipeline; it predicts from the feature vector."""
+    return RandomForestRegressionModel.load(path)

@@ -10,7 +10,7 @@ from tallyrate.operators import rates as R
 from tallyrate.operators.cells import FLAG, drop_incomplete, in_half_court
 from tallyrate.operators.split import TRAIN_SHARE, with_split
 from tallyrate.operators.zones import CLUSTERS, assign_zones, fit_zones
-from tallyrate.storage import written_table
+from tallyrate.storage import fixed_order_table, written_table
 
 POINT_CELL = ("loc_x", "loc_y", "dist_bin", "margin_cat", "period")
 CELL = ("x_center", "y_center", "dist_bin", "margin_cat", "period")
@@ -31,7 +31,8 @@ def cluster_rates(attempts: DataFrame, seed: int, k: int = CLUSTERS,
     })
     points = written_table(
         R.cell_table(drop_incomplete(binned, (*POINT_CELL, FLAG)), POINT_CELL), "point-cells")
-    weighted = points.groupBy("loc_x", "loc_y").agg(F.sum("total").alias("weight"))
+    weighted = fixed_order_table(
+        points.groupBy("loc_x", "loc_y").agg(F.sum("total").alias("weight")), "points")
     placed = assign_zones(points, fit_zones(weighted, seed, k)).withColumns({
         "x_center": F.round("x_center", 2), "y_center": F.round("y_center", 2)})
     counted = placed.groupBy(*CELL).agg(F.sum("total").alias("total"), F.sum("made").alias("made"))

@@ -20,8 +20,9 @@ def requests_of(cells: DataFrame) -> DataFrame:
 def score(model: PipelineModel, requests: DataFrame) -> DataFrame:
     """The requests with `prediction` and the same as percent text."""
     prepared = requests.withColumns({
+        "_period": F.col("period"),
         "period": S.clamp_period(F.col("period")),
         "margin_scaled": S.scale_margin(S.clamp_margin(F.col("margin_cat")))})
-    scored = model.transform(prepared)
-    return scored.withColumn("percent", S.percent_text(F.col("prediction"))).select(
-        *requests.columns, "prediction", "percent")
+    scored = model.transform(prepared).withColumns({
+        "period": F.col("_period"), "percent": S.percent_text(F.col("prediction"))})
+    return scored.select(*requests.columns, "prediction", "percent")

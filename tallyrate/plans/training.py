@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyrate.operators import features, models
-from tallyrate.storage import written_table
+from tallyrate.storage import fixed_order_table
 
 
 def fit_and_predict(rates: DataFrame, pipeline: Pipeline) -> tuple[PipelineModel, DataFrame]:
@@ -19,14 +19,14 @@ def fit_and_predict(rates: DataFrame, pipeline: Pipeline) -> tuple[PipelineModel
 
 def train_zone_model(rates: DataFrame, regressor) -> tuple[PipelineModel, DataFrame]:
     """Named zones: scaled inputs straight into the regressor."""
-    stored = written_table(rates, "rates")
+    stored = fixed_order_table(rates, "rates")
     return fit_and_predict(stored, models.pipeline(stored.sparkSession, regressor))
 
 
 def train_cluster_model(rates: DataFrame, regressor) -> tuple[PipelineModel, DataFrame]:
     """Learned zones or a stored rate table of such: raw inputs, scaled by the
     largest value and category-indexed before the regressor."""
-    stored = written_table(rates, "rates")
+    stored = fixed_order_table(rates, "rates")
     last_period = stored.agg(F.max("period")).first()[0]
     return fit_and_predict(stored, models.pipeline(
         stored.sparkSession, regressor, features.RAW_INPUTS, scale=True, index=True,

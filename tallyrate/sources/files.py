@@ -12,8 +12,8 @@ from tallyrate import schemas
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = schemas.ATTEMPTS) -> DataFrame:
-    """Headed CSV. Without a schema the types are inferred, at the price of a pass;
-    an unnamed index column is then called `_c0`."""
+    """Headed CSV; an empty cell is null. Without a schema the types are inferred, at
+    the price of a pass, and an unnamed index column is called `_c0`."""
     if schema is None:
         return spark.read.csv(path, header=True, inferSchema=True)
     return spark.read.schema(schema).csv(path, header=True, enforceSchema=False)

@@ -13,6 +13,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 _local_folders: dict[str, tempfile.TemporaryDirectory] = {}
 
@@ -46,6 +47,16 @@ def written_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fixed_order_table(df: DataFrame, name: str) -> DataFrame:
+    """A written table whose rows always land in the same file and place. Seeded
+    fits draw rows by place, so they repeat only on such a table."""
+    spark = df.sparkSession
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                spark.sparkContext.defaultParallelism)
+    keys = [field.name for field in df.schema if isinstance(field.dataType, T.AtomicType)]
+    return written_table(df.repartition(parts, *keys).sortWithinPartitions(*keys), name)
+
+
 def drop_written_tables(spark: SparkSession) -> None:
     """Delete what this application wrote; frames read from it end here too."""
     jvm = spark.sparkContext._jvm
