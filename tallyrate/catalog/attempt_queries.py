@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -310,6 +310,15 @@ def vector_element(spark, sf_dir):
                        S.vector_element(F.col("features"), 1).alias("y"))
 
 
+@query
+def vector_from_array(spark, sf_dir):
+    """Zone centres as arrays, then vectors, then elements."""
+    centres = zones.zone_centroids(cells(spark, sf_dir)).select(
+        "zone", array_to_vector(F.array("x_center", "y_center")).alias("centre"))
+    return centres.select("zone", S.vector_element(F.col("centre"), 0, 9).alias("x_center"),
+                          S.vector_element(F.col("centre"), 1, 9).alias("y_center"))
+
+
 @query
 def max_abs_scale(spark, sf_dir):
     rows = attempts(spark, sf_dir).select(

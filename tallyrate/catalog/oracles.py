@@ -275,6 +275,9 @@ ORACLES: dict[str, str] = {
     "max_abs_scale_vector": _features(f"select {CELL}, {SCALED_FEATURES} from featured"),
     "vector_element": _features(
         f"select {CELL}, round(f0, 2) as x, round(f1, 2) as y from featured"),
+    "vector_from_array": _cells("""
+        select zone, round(avg(x_half), 9) as x_center, round(avg(y_half), 9) as y_center
+        from cells group by zone"""),
     "rate_table_roundtrip": _features(f"select {CELL}, {FEATURES} from featured"),
     "max_abs_scale": _attempts(f"""
         , numbers as (select attempt_key, loc_x, {MARGIN} as score_margin from attempts_v),

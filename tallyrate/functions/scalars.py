@@ -99,7 +99,7 @@ def first_match(text: Column, rules: Sequence[tuple[str, str]] = ACTION_RULES,
 def concat_zone(first: Column, second: Column) -> Column:
     """Joined with a space; a missing part reads "null"."""
     missing = F.lit("null")
-    return F.concat_ws(" ", F.coalesce(first, missing), F.coalesce(second, missing))
+    return F.concat(F.coalesce(first, missing), F.lit(" "), F.coalesce(second, missing))
 
 
 def indicator(value: Column, wanted: str) -> Column:

@@ -41,7 +41,7 @@ def definitions() -> dict[str, str]:
             "floor(cast(cast(cast(part AS FLOAT) / cast(whole AS FLOAT) AS FLOAT) AS DOUBLE)"
             " * 100D + 0.5D) / 100D",
         "concat_zone(a STRING, b STRING) RETURNS STRING":
-            "concat_ws(' ', coalesce(a, 'null'), coalesce(b, 'null'))",
+            "concat(coalesce(a, 'null'), ' ', coalesce(b, 'null'))",
     }
 
 

@@ -22,7 +22,7 @@ def optimized(df) -> str:
 
 
 RELATIONAL = [name for name in entry.oracle_sql() if name not in (
-    "assemble_features", "vector_index", "max_abs_scale_vector", "vector_element",
+    "assemble_features", "vector_index", "max_abs_scale_vector", "vector_element", "vector_from_array",
     "rate_table_roundtrip", "one_hot", "string_index_stage", "model_roundtrip",
     "learned_zone_totals")]
 
