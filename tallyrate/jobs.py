@@ -16,7 +16,6 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyrate import schemas
 from tallyrate.operators import evaluate, models, text
@@ -32,7 +31,7 @@ REGRESSORS = {"forest": models.forest, "small-forest": models.small_forest,
 
 def prepare(spark: SparkSession, args: argparse.Namespace) -> None:
     """Attempts with their score margins, and the games whose counts differ."""
-    attempts = files.read_csv(spark, args.attempts, _schema_of(spark, args.attempts))
+    attempts = files.read_attempts(spark, args.attempts)
     log = written_table(files.read_result_set(spark, args.logs), "event-log")
     margins = written_table(
         prep.subject_margins(attempts, log, args.subject, args.team), "margins")
@@ -41,13 +40,13 @@ def prepare(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def train_zones(spark: SparkSession, args: argparse.Namespace) -> None:
-    rates = named_zones.zone_rates(_attempts(spark, args), args.seed, ["index"],
+    rates = named_zones.zone_rates(files.read_attempts(spark, args.attempts), args.seed, ["index"],
                                    split_level=args.split_level)
     _finish(args, *training.train_zone_model(rates, REGRESSORS[args.regressor](args.seed)))
 
 
 def train_clusters(spark: SparkSession, args: argparse.Namespace) -> None:
-    rates = written_table(learned_zones.cluster_rates(_attempts(spark, args), args.seed), "rates")
+    rates = written_table(learned_zones.cluster_rates(files.read_attempts(spark, args.attempts), args.seed), "rates")
     if args.rates:
         files.write_rates(rates, args.rates)
     _finish(args, *training.train_cluster_model(rates, REGRESSORS[args.regressor](args.seed)))
@@ -68,17 +67,6 @@ def count_lines(spark: SparkSession, args: argparse.Namespace) -> None:
     text.contains_counts(files.read_lines(spark, args.text), args.needles).show(truncate=False)
 
 
-def _schema_of(spark: SparkSession, path: str) -> T.StructType:
-    """The attempt schema, restricted to the columns the file has."""
-    present = spark.read.csv(path, header=True).columns
-    known = {field.name: field for field in schemas.ATTEMPTS}
-    return T.StructType([known.get(name, T.StructField(name, T.StringType())) for name in present])
-
-
-def _attempts(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    return files.read_csv(spark, args.attempts, _schema_of(spark, args.attempts))
-
-
 def _finish(args: argparse.Namespace, model: PipelineModel, predicted: DataFrame) -> None:
     models.save(model, args.model)
     evaluate.rmse(predicted).select(

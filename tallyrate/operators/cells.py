@@ -15,7 +15,7 @@ FLAG = "shot_made_flag"
 
 def with_cells(attempts: DataFrame) -> DataFrame:
     """Folded location, named zone, distance bin, margin category, clamped period."""
-    x, y = F.col("loc_x").cast("int"), F.col("loc_y").cast("int")
+    x, y = F.col("loc_x").try_cast("int"), F.col("loc_y").try_cast("int")
     return attempts.withColumns({
         "x_half": S.fold_x(x),
         "y_half": S.fold_y(x, y),

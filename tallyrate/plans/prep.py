@@ -41,7 +41,7 @@ def subject_margins(attempts: DataFrame, log: DataFrame, subject: str, team: str
 
 def merge_margins(attempts: DataFrame, margins: DataFrame) -> DataFrame:
     """Attempts, each with its margin; without one where the log has none."""
-    return M.attach(with_attempt_time(attempts), margins, TIME, MARGIN)
+    return M.attach(with_attempt_time(attempts.drop(MARGIN)), margins, TIME, MARGIN)
 
 
 def reconcile(attempts: DataFrame, margins: DataFrame) -> DataFrame:

@@ -11,11 +11,11 @@ ATTEMPTS = T.StructType([
     T.StructField("minutes_remaining", T.IntegerType()),
     T.StructField("seconds_remaining", T.IntegerType()),
     T.StructField("action_type", T.StringType()),
-    T.StructField("loc_x", T.IntegerType()),
-    T.StructField("loc_y", T.IntegerType()),
+    T.StructField("loc_x", T.DoubleType()),
+    T.StructField("loc_y", T.DoubleType()),
     T.StructField("shot_zone_basic", T.StringType()),
     T.StructField("shot_zone_area", T.StringType()),
-    T.StructField("defender_id", T.IntegerType()),
+    T.StructField("defender_id", T.StringType()),
     T.StructField("defender_distance", T.DoubleType()),
     T.StructField("htm", T.StringType()),
     T.StructField("vtm", T.StringType()),

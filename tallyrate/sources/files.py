@@ -6,19 +6,30 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyrate import schemas
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = schemas.ATTEMPTS) -> DataFrame:
-    """Headed CSV; an empty cell is null. Without a schema the types are inferred, at
-    the price of a pass, and an unnamed index column is called `_c0`."""
+    """Headed CSV whose header must name the schema's columns; an empty cell is
+    null. Without a schema the types are inferred, at the price of a pass, and an
+    unnamed index column is called `_c0`."""
     if schema is None:
         return spark.read.csv(path, header=True, inferSchema=True)
     return spark.read.schema(schema).csv(path, header=True, enforceSchema=False)
 
 
+def read_attempts(spark: SparkSession, path: str) -> DataFrame:
+    """Attempts from a headed CSV that may lack some of the known columns or have
+    others, which are read as text. An unnamed first column becomes `index`."""
+    known = {field.name: field for field in schemas.ATTEMPTS}
+    names = spark.read.csv(path, header=True).columns
+    named = ["index" if name == "_c0" and "index" not in names else name for name in names]
+    fields = [known.get(name, StructField(name, StringType())) for name in named]
+    return spark.read.schema(StructType(fields)).csv(path, header=True)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).csv(path, header=True)
 

@@ -33,6 +33,15 @@ def test_csv_header_must_match_the_schema(spark, tmp_path):
         files.read_csv(spark, str(tmp_path / "x.csv"), "a int, b int").collect()
 
 
+def test_attempts_with_other_columns(spark, tmp_path):
+    (tmp_path / "x.csv").write_text(",loc_x,extra,period\n5,23.5,e,1\n6,,,\n")
+    df = files.read_attempts(spark, str(tmp_path / "x.csv"))
+    assert df.dtypes == [("index", "int"), ("loc_x", "double"), ("extra", "string"), ("period", "int")]
+    assert [tuple(r) for r in df.collect()] == [(5, 23.5, "e", 1), (6, None, None, None)]
+    (tmp_path / "y.csv").write_text("_c0,index\n1,2\n")
+    assert files.read_attempts(spark, str(tmp_path / "y.csv")).columns == ["_c0", "index"]
+
+
 def document(headers, rows):
     return {"resource": "plays", "resultSets": [
         {"name": "PlayByPlay", "headers": headers, "rowSet": rows},
