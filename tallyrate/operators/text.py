@@ -7,11 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LINE_BREAK = "\r\n|\r|\n"
-
 
 def lines_of(texts: DataFrame, column: str) -> DataFrame:
-    return texts.select(F.explode(F.split(F.col(column), LINE_BREAK)).alias("value"))
+    """The lines of each text, ended by `\\n`, `\\r\\n` or `\\r` as in a text file:
+    a final line end opens no further line, and an empty text has none."""
+    line_end = F.lit("\n")
+    ends = F.replace(F.replace(F.col(column), F.lit("\r\n"), line_end), F.lit("\r"), line_end)
+    body = F.when(ends.endswith("\n"), F.left(ends, F.length(ends) - 1)).otherwise(ends)
+    return texts.where(F.col(column) != "").select(F.explode(F.split(body, "\n")).alias("value"))
 
 
 def contains_counts(lines: DataFrame, needles: Sequence[str]) -> DataFrame:

@@ -150,7 +150,12 @@ def test_preparation_equals_the_loop(game_tables, rows_of, group_rows):
     assert rows_of(prep.reconcile(made_at, margins)) == [("001", 5, 4), ("002", 4, 1), ("003", 1, None)]
 
 
-def test_line_counts(spark):
-    texts = spark.createDataFrame([("a\nb\r\nab\n",), ("",), ("c\ra",), (None,)], "t string")
-    lines = text.lines_of(texts, "t")
+def test_lines_as_in_a_text_file(spark, tmp_path):
+    texts = ["a\nb\r\nab\n", "", "c\ra", "\n", "x\n\ny", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    lines = text.lines_of(df, "t")
+    for i, content in enumerate(filter(None, texts)):
+        (tmp_path / f"{i}.txt").write_bytes(content.encode())
+    from_files = spark.read.text(str(tmp_path))
+    assert sorted(r.value for r in lines.collect()) == sorted(r.value for r in from_files.collect())
     assert tuple(text.contains_counts(lines, "ab").first()) == (3, 2)
