@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from tallyrate import schemas
 from tallyrate.operators import evaluate, models, text
-from tallyrate.operators.cells import drop_incomplete
 from tallyrate.plans import learned_zones, named_zones, prep, scoring, training
 from tallyrate.session import build_session
 from tallyrate.sources import files
@@ -59,8 +58,7 @@ def train_rates(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def score(spark: SparkSession, args: argparse.Namespace) -> None:
     requests = files.read_csv(spark, args.requests, schemas.REQUESTS)
-    complete = drop_incomplete(requests, requests.columns)
-    files.write_csv(scoring.score(models.load(args.model), complete), args.out)
+    files.write_csv(scoring.score(models.load(args.model), requests), args.out)
 
 
 def count_lines(spark: SparkSession, args: argparse.Namespace) -> None:

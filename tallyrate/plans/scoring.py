@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyrate.functions import scalars as S
+from tallyrate.operators.features import DISTANCE_LEVELS
 
 
 def requests_of(cells: DataFrame) -> DataFrame:
@@ -17,12 +18,31 @@ def requests_of(cells: DataFrame) -> DataFrame:
         "dist_bin", "margin_cat", "period")
 
 
+def scorable(requests: DataFrame) -> Column:
+    """Complete, and with a distance bin and period the encoder knows."""
+    known = (F.col("dist_bin").between(0, DISTANCE_LEVELS - 1) & (F.col("period") >= 0)
+             & F.col("margin_cat").isNotNull())
+    for name in ("x_center_scaled", "y_center_scaled"):
+        known = known & F.col(name).isNotNull() & ~F.isnan(name)
+    return F.coalesce(known, F.lit(False))
+
+
 def score(model: PipelineModel, requests: DataFrame) -> DataFrame:
-    """The requests with `prediction` and the same as percent text."""
-    prepared = requests.withColumns({
-        "_period": F.col("period"),
-        "period": S.clamp_period(F.col("period")),
-        "margin_scaled": S.scale_margin(S.clamp_margin(F.col("margin_cat")))})
-    scored = model.transform(prepared).withColumns({
-        "period": F.col("_period"), "percent": S.percent_text(F.col("prediction"))})
-    return scored.select(*requests.columns, "prediction", "percent")
+    """The requests with `prediction` and the same as percent text. A request
+    that cannot be scored keeps its row and gets neither."""
+    usable = scorable(requests)
+
+    def or_zero(value: Column) -> Column:
+        return F.when(usable, value).otherwise(F.lit(0))
+
+    prepared = requests.select(
+        F.struct("*").alias("request"), usable.alias("usable"),
+        or_zero(F.col("x_center_scaled")).alias("x_center_scaled"),
+        or_zero(F.col("y_center_scaled")).alias("y_center_scaled"),
+        or_zero(F.col("dist_bin")).alias("dist_bin"),
+        or_zero(S.scale_margin(S.clamp_margin(F.col("margin_cat")))).alias("margin_scaled"),
+        or_zero(S.clamp_period(F.col("period"))).alias("period"))
+    scored = model.transform(prepared).select(
+        "request.*", F.when(F.col("usable"), F.col("prediction")).alias("prediction"))
+    return scored.withColumn("percent", F.when(
+        F.col("prediction").isNotNull(), S.percent_text(F.col("prediction"))))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyrate import jobs, schemas
 from tallyrate.storage import drop_written_tables
@@ -49,8 +50,10 @@ def test_train_score_and_retrain(spark, tmp_path, capfd):
         "x_center_scaled,y_center_scaled,dist_bin,margin_cat,period\n0.4,-0.05,0,2,1\n0.2,0,3,,1\n")
     jobs.main(["score", "--model", str(tmp_path / "zones"), "--requests",
                str(tmp_path / "requests.csv"), "--out", str(tmp_path / "scored")])
-    (row,) = spark.read.csv(str(tmp_path / "scored"), header=True).collect()
-    assert 0 <= float(row.prediction) <= 1 and row.percent.endswith("%")
+    whole, partial = spark.read.csv(str(tmp_path / "scored"), header=True).orderBy(
+        F.desc("x_center_scaled")).collect()
+    assert 0 <= float(whole.prediction) <= 1 and whole.percent.endswith("%")
+    assert (partial.dist_bin, partial.prediction, partial.percent) == ("3", None, None)
 
 
 def test_count_lines(spark, tmp_path, capsys):

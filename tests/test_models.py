@@ -122,6 +122,15 @@ def test_scoring_a_request_table(planted, spark):
     assert (clamped.period, clamped.margin_cat) == (8, 9) and 0 <= clamped.prediction <= 1
 
 
+def test_requests_that_cannot_be_scored_keep_their_row(planted, spark):
+    model, _ = training.train_zone_model(planted, models.small_forest())
+    bad = [(None, 0.0, 0, 0, 1), (0.5, float("nan"), 0, 0, 1), (0.5, 0.0, 7, 0, 1),
+           (0.5, 0.0, -1, 0, 1), (0.5, 0.0, 0, None, 1), (0.5, 0.0, 0, 0, None), (0.5, 0.0, 0, 0, -1)]
+    scored = scoring.score(model, files.requests_from_rows(spark, [*bad, (0.5, 0.0, 0, 0, 1)]))
+    assert sum(r.prediction is not None and r.percent is not None for r in scored.collect()) == 1
+    assert scored.where("prediction IS NULL AND percent IS NULL").count() == len(bad)
+
+
 def test_scaled_and_indexed_pipeline(planted):
     model, predicted = training.train_cluster_model(planted, models.forest())
     assert [type(stage).__name__ for stage in model.stages] == [
