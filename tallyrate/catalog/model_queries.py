@@ -16,7 +16,7 @@ from tallyrate.plans.learned_zones import CELL as CLUSTER_CELL
 from tallyrate.plans.learned_zones import cluster_rates
 from tallyrate.plans.named_zones import zone_rates
 from tallyrate.sources import files
-from tallyrate.storage import fixed_order_table, fresh_path, written_table
+from tallyrate.storage import fixed_order_table, fresh_path
 
 QUERIES = {}
 
@@ -86,11 +86,11 @@ def predict_holdout(spark, sf_dir):
 
 @query
 def evaluate_models(spark, sf_dir):
-    rates = written_table(_zone_rates(spark, sf_dir), "rates")
+    rates = fixed_order_table(_zone_rates(spark, sf_dir), "rates")
     rows = []
     for name, regressor in (("forest", models.forest()), ("small_forest", models.small_forest()),
                             ("boosted", models.boosted())):
-        _, predicted = training.train_zone_model(rates, regressor)
+        _, predicted = training.fit_and_predict(rates, models.pipeline(spark, regressor))
         rows.append(evaluate.rmse(predicted).withColumn("model", F.lit(name)))
     return reduce(DataFrame.unionByName, rows).select("model", "rmse", "n")
 

@@ -32,8 +32,7 @@ def prepare(spark: SparkSession, args: argparse.Namespace) -> None:
     """Attempts with their score margins, and the games whose counts differ."""
     attempts = files.read_attempts(spark, args.attempts)
     log = written_table(files.read_result_set(spark, args.logs), "event-log")
-    margins = written_table(
-        prep.subject_margins(attempts, log, args.subject, args.team), "margins")
+    margins = prep.subject_margins(attempts, log, args.subject, args.team)
     files.write_csv(prep.merge_margins(attempts, margins).drop(prep.TIME), f"{args.out}/attempts")
     files.write_csv(prep.reconcile(attempts, margins), f"{args.out}/differing_games")
 

@@ -23,10 +23,13 @@ def subject_margins(attempts: DataFrame, log: DataFrame, subject: str, team: str
     """Margins at the subject's attempts: GAME_ID, TIME, SCOREMARGIN.
 
     All games at once. The filters on the log run before its join with the known
-    times; a game's side comes along with its times, which are distinct.
+    times; a game's side comes along with its times, which are distinct. The
+    result is written: it is used for merging and for reconciling, and a join
+    whose output goes to files may split a hot time, which it may not when a
+    grouping by the same time follows in the same plan.
     """
     timed = with_attempt_time(attempts)
-    home_team = M.first_per_game(attempts, "htm", "game_id", "index")
+    home_team = written_table(M.first_per_game(attempts, "htm", "game_id", "index"), "home-teams")
     known = timed.select("game_id", TIME).distinct().join(home_team, "game_id").select(
         TIME, (F.col("htm") == team).alias("at_home"))
     filled = forward_fill(log, MARGIN, "GAME_ID", "EVENTNUM", group_rows=group_rows)
@@ -35,8 +38,9 @@ def subject_margins(attempts: DataFrame, log: DataFrame, subject: str, team: str
     keyed = counted.withColumn(TIME, S.log_time_key(
         F.col("GAME_ID"), F.col("PERIOD"), F.col("PCTIMESTRING")))
     matched = keyed.join(written_table(known, "attempt-times"), TIME)
-    return matched.where(M.subject_side(subject, F.col("at_home"), "HOMEDESCRIPTION",
-                                        "VISITORDESCRIPTION")).select("GAME_ID", TIME, MARGIN)
+    own = matched.where(M.subject_side(subject, F.col("at_home"), "HOMEDESCRIPTION",
+                                       "VISITORDESCRIPTION"))
+    return written_table(own.select("GAME_ID", TIME, MARGIN), "margins")
 
 
 def merge_margins(attempts: DataFrame, margins: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ import __spark_entry__ as entry
 from tallyrate import adapters
 from tallyrate.operators import matching, rates
 from tallyrate.operators.cells import with_cells
+from tallyrate.plans import prep
 
 SF = "/root/testdata/sf0.001"
 
@@ -92,6 +93,26 @@ def test_a_hot_key_is_split_in_the_left_join(spark, shuffled_joins):
     assert joined.count() == expected
 
 
+def test_a_hot_time_is_split_when_margins_are_merged(spark, shuffled_joins):
+    clock = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))
+    attempts = spark.range(0, 60_000, 1, 8).select(
+        F.col("id").alias("index"), F.lit(1).alias("game_id"), F.lit(1).alias("period"),
+        clock.alias("minutes_remaining"), F.lit(30).alias("seconds_remaining"), F.lit("O").alias("htm"))
+    log = spark.range(0, 60_000, 2, 8).select(
+        F.lit("001").alias("GAME_ID"), F.col("id").alias("EVENTNUM"), F.lit(1).alias("PERIOD"),
+        F.concat(F.when(F.col("id") % 4 == 0, F.lit(0)).otherwise(F.col("id")).cast("string"),
+                 F.lit(":30")).alias("PCTIMESTRING"),
+        F.lit("7").alias("SCOREMARGIN"), F.lit("MISS user").alias("HOMEDESCRIPTION"),
+        F.lit(None).cast("string").alias("VISITORDESCRIPTION"), F.lit(1).alias("EVENTMSGACTIONTYPE"))
+    margins = prep.subject_margins(attempts, log, "user", "O", group_rows=1_000)
+    at_zero = log.where("PCTIMESTRING = '0:30'").count()
+    assert margins.where("TIME = '001:1:0:30'").count() == at_zero == 15_000
+    few = margins.where("TIME <> '001:1:0:30'")
+    merged = prep.merge_margins(attempts, few)
+    assert "skew=true" in final_plan(merged)
+    assert merged.count() == 60_000
+
+
 def test_a_hot_key_is_split_in_the_semi_join(spark, shuffled_joins):
     rows = hot_rows(spark)
     kept = matching.with_known_keys(rows, rows.where("n % 6 = 0"), "k")
