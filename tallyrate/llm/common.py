@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,7 +65,7 @@ def byte_sized(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 <<
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(
             zero_copy_only=False)
         ends = np.cumsum(sizes)
         start = 0
@@ -126,6 +127,28 @@ def _state(edges: DataFrame) -> tuple:
                            F.bit_xor(F.xxhash64("v", "u"))).first())
 
 
+# Bits of a key filter: what is broadcast is at most an eighth as many bytes, at any input size.
+FILTER_BITS = 1 << 24
+
+
+def key_filter(keys: DataFrame, column: str) -> DataFrame:
+    """A bitmap of fixed size over the long `column`, to leave rows out of a shuffle early."""
+    place = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)) + 1
+    return keys.select(F.bitmap_bucket_number(place).alias("_bucket"),
+                       F.bitmap_bit_position(place).alias("_bit")).groupBy("_bucket").agg(
+        F.bitmap_construct_agg("_bit").alias("_bits"))
+
+
+def in_filter(rows: DataFrame, column: str, bitmap: DataFrame) -> DataFrame:
+    """Adds `_maybe`: false only where the key is surely not in the filter."""
+    place = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)) + 1
+    bit = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    return rows.withColumn("_bucket", F.bitmap_bucket_number(place)).join(
+        F.broadcast(bitmap), "_bucket", "left").withColumn("_maybe", F.coalesce(
+            F.getbit(byte.cast("int"), (bit % 8).cast("int")) == 1, F.lit(False))).drop("_bucket", "_bits")
+
+
 def tiled(rows: DataFrame, keys: list[str], spread: Column, tile: int, name: str) -> DataFrame:
     """Cut the groups of `keys` into tiles of about `tile` rows and deal out pairs of tiles.
 

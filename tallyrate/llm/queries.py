@@ -5,21 +5,148 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrate.llm import simhash
+from tallyrate.llm import (
+    bpe,
+    exact_dedup,
+    language_id,
+    mixing,
+    simhash,
+    token_counts,
+    tokens,
+    url_filter,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language_id.fit(table(spark, sf_dir, "documents"))
+    return language_id.identify_pages(table(spark, sf_dir, "pages"), model).select(
+        "page_id", "declared", "host", "text_language", "language",
+        F.round("probability", 6).alias("probability"))
+
+
+def encoded_digests(docs: DataFrame, path: str) -> DataFrame:
+    found = bpe.encode(docs, path)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op3_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_digests(table(spark, sf_dir, "documents"), tokens.public_path("word_bpe_49k.json"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.count(table(spark, sf_dir, "documents"), tokens.public_path("byte_bpe_50k.json"))
+    return token_counts.with_limit(counts, 512)
+
+
+URL_RULES = (
+    url_filter.Rule("block", "net/"), url_filter.Rule("allow", "example.net/en/"),
+    url_filter.Rule("block", "example.com/de/"), url_filter.Rule("allow", "org/fr/"),
+)
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                         "component_id")
 
 
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept",
+                        F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 QUERIES = {
+    "op1_mix_sources": op1_mix_sources,
+    "op2_language_id": op2_language_id,
+    "op3_bpe_encode_decode": op3_bpe_encode_decode,
+    "op4_token_counts": op4_token_counts,
+    "op6_url_filter": op6_url_filter,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op9_exact_dedup": op9_exact_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+def _url_sql() -> str:
+    def distinct(terms) -> str:
+        found = " + ".join(
+            f"regexp_matches(address, '(^|[^a-z0-9]){term}($|[^a-z0-9])')::integer" for term in terms)
+        return f"({found})"
+
+    cases = "".join(
+        f" when (host = '{r.host}' or ends_with(host, '.{r.host}')) and starts_with(path, '{r.path}')"
+        f" then '{r.target}'"
+        for r in sorted(URL_RULES, key=lambda r: (-len(r.host), -len(r.path))))
+    verdicts = "".join(f" when rule = '{r.target}' then '{r.verdict}'" for r in URL_RULES)
+    lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+        with parts as (
+            select page_id, {lower.format("coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '')")} as host,
+                   coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path from pages),
+        ruled as (
+            select *, case{cases} end as rule, {lower.format("host || path")} as address from parts),
+        counted as (
+            select *, {distinct(url_filter.STRICT)} as strict_terms, {distinct(url_filter.SOFT)} as soft_terms
+            from ruled)
+        select page_id, host, path, rule, strict_terms, soft_terms,
+               case{verdicts} when strict_terms > 0 or soft_terms >= {url_filter.SOFT_LIMIT} then 'block'
+                    else 'allow' end as verdict
+        from counted"""
+
+
+ORACLES = {
+    "op6_url_filter": _url_sql(),
+    "op1_mix_sources": r"""
+        with sized as (
+            select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size,
+                   ('0x' || substr(md5(coalesce(doc_id::varchar, text, '')), 1, 9))::bigint as hash
+            from documents),
+        sources as (
+            select source, sum(size)::bigint as source_size,
+                   [5, 2, 1][(row_number() over (order by source nulls last) - 1) % 3 + 1] as weight
+            from sized group by source),
+        levels as (
+            select *, ((sum(source_size) over ())
+                       - coalesce(sum(3 * source_size) over earlier, 0))::bigint::double
+                      / ((sum(weight) over ()) - coalesce(sum(weight) over earlier, 0))::bigint::double as level
+            from sources window earlier as (
+                order by (3 * source_size)::double / weight, source nulls last
+                rows between unbounded preceding and 1 preceding)),
+        targets as (
+            select source, source_size,
+                   least((3 * source_size)::double, weight * (select max(level) from levels)) as target
+            from levels),
+        budgets as (
+            select *, coalesce(floor(target / nullif(source_size, 0)), 0)::bigint as whole,
+                   target - coalesce(floor(target / nullif(source_size, 0)), 0) * source_size as rest
+            from targets),
+        upto as (
+            select s.doc_id, s.size, s.hash, b.source_size, b.target, b.whole, b.rest,
+                   sum(s.size) over (partition by s.source order by s.hash) as upto,
+                   sum(s.size) over (partition by s.source, s.hash) as here
+            from sized s join budgets b on s.source is not distinct from b.source)
+        select doc_id, size, source_size, target,
+               (size * (whole + case when upto <= rest or upto - rest < rest - (upto - here)
+                                     then 1 else 0 end))::bigint as taken
+        from upto""",
+    "op9_exact_dedup": r"""
+        select doc_id, min(doc_id) over same as keep_id, count(*) over same as group_size,
+               doc_id = min(doc_id) over same as kept, text_sha256
+        from (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g'))
+                     as text_sha256 from documents)
+        window same as (partition by text_sha256)""",
+}
