@@ -154,7 +154,8 @@ def tiled(rows: DataFrame, keys: list[str], spread: Column, tile: int, name: str
 
     Groups of one row are left out. A group that fits one tile is dealt once (`ti` = `tj`); any
     other gives each pair of its tiles, `ti` < `tj`, so that every two rows meet in some task
-    that holds about two tiles. `spread` is a hash that tells the rows apart.
+    that holds about two tiles. `tile` is a row's own tile, of `tiles`. `spread` is a hash that
+    tells the rows apart.
     """
     sizes = written_table(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
                           .where("_n > 1"), name)
@@ -165,7 +166,8 @@ def tiled(rows: DataFrame, keys: list[str], spread: Column, tile: int, name: str
                       lambda j: (F.col("_t") == 1) | (j != F.col("_i")))
     dealt = own.withColumn("_j", F.explode(others))
     return dealt.select(*rows.columns, F.least("_i", "_j").alias("ti"),
-                        F.greatest("_i", "_j").alias("tj"))
+                        F.greatest("_i", "_j").alias("tj"), F.col("_i").alias("tile"),
+                        F.col("_t").alias("tiles"))
 
 
 def grouped(batches: Iterator[pa.RecordBatch], keys: list[str], limit: int = 1 << 16,

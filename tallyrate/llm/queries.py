@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyrate.llm import (
     bpe,
+    embedding_dedup,
     exact_dedup,
     language_id,
     mixing,
@@ -65,6 +66,10 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept",
@@ -78,6 +83,7 @@ QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op6_url_filter": op6_url_filter,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
@@ -143,6 +149,25 @@ ORACLES = {
                (size * (whole + case when upto <= rest or upto - rest < rest - (upto - here)
                                      then 1 else 0 end))::bigint as taken
         from upto""",
+    "op8_embedding_near_dedup": """
+        with recursive vectors as (
+            select row_number() over () as r, vec_id, label, embedding::double[] as v from embeddings),
+        usable as (
+            select * from vectors where label is not null and v is not null
+            and len(list_filter(v, lambda x: x is null or isnan(x) or isinf(x))) = 0
+            and len(list_filter(v, lambda x: x <> 0)) > 0),
+        links as (
+            select a.r as a, b.r as b from usable a join usable b
+            on a.label = b.label and a.r <> b.r and len(a.v) = len(b.v)
+               and list_cosine_similarity(a.v, b.v) >= 0.93),
+        reach as (
+            select r, vec_id as least from vectors
+            union
+            select links.b, reach.least from reach join links on links.a = reach.r),
+        counts as (select a as r, count(*) as n from links group by a),
+        components as (select r, min(least) as component_id from reach group by r)
+        select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept
+        from vectors join components using (r) left join counts using (r)""",
     "op9_exact_dedup": r"""
         select doc_id, min(doc_id) over same as keep_id, count(*) over same as group_size,
                doc_id = min(doc_id) over same as kept, text_sha256
