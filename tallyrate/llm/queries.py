@@ -12,6 +12,7 @@ from tallyrate.llm import (
     language_id,
     mixing,
     simhash,
+    suffix_dedup,
     token_counts,
     tokens,
     url_filter,
@@ -76,6 +77,13 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=200)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_language_id": op2_language_id,
@@ -85,6 +93,7 @@ QUERIES = {
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
 def _url_sql() -> str:
