@@ -10,6 +10,7 @@ from tallyrate.llm import (
     embedding_dedup,
     exact_dedup,
     language_id,
+    line_dedup,
     mixing,
     simhash,
     suffix_dedup,
@@ -51,6 +52,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.with_limit(counts, 512)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 URL_RULES = (
     url_filter.Rule("block", "net/"), url_filter.Rule("allow", "example.net/en/"),
     url_filter.Rule("block", "example.com/de/"), url_filter.Rule("allow", "org/fr/"),
@@ -89,6 +94,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_bpe_encode_decode": op3_bpe_encode_decode,
     "op4_token_counts": op4_token_counts,
+    "op5_line_dedup": op5_line_dedup,
     "op6_url_filter": op6_url_filter,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
