@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 TEAM = "O"
 SUBJECT = "user"
+# The test tables' brands, which stand for the first part of a zone's name.
+BRANDS = tuple(f"Brand#{i}{j}" for i in range(1, 6) for j in range(1, 6))
 ACTION_RULES = (("gear", "Gear"), ("ring", "Ring"), ("cold", "Cold"), ("hot", "Hot"))
 
 
@@ -96,13 +98,14 @@ def event_log(log: DataFrame) -> DataFrame:
     )
 
 
-def result_set_documents(log: DataFrame, rows: int = 500) -> DataFrame:
+def result_set_documents(log: DataFrame, rows: int = 500, by_game: bool = True) -> DataFrame:
     """An event log as result-set documents. A document covers at most `rows`
-    consecutive event numbers of a game, so none grows with its game."""
+    consecutive event numbers of a game, or of all games, so none grows with its game."""
     ordered = F.sort_array(F.collect_list(F.struct(
         F.col("EVENTNUM"), F.array(*[F.col(name).cast("string") for name in log.columns])
         .alias("cells"))))
-    return log.groupBy("GAME_ID", F.floor(F.col("EVENTNUM") / rows)).agg(
+    keys = ["GAME_ID"] if by_game else []
+    return log.groupBy(*keys, F.floor(F.col("EVENTNUM") / rows)).agg(
         ordered.alias("ordered")).select(F.array(F.struct(
             F.lit("PlayByPlay").alias("name"),
             F.array(*[F.lit(name) for name in log.columns]).alias("headers"),

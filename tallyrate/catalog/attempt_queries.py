@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -226,7 +227,8 @@ def sql_function_surface(spark, sf_dir):
                distance_bin(defender_distance) AS dist_bin,
                fold_x(loc_x) AS x_half,
                fold_y(loc_x, loc_y) AS y_half,
-               action_category(action_type) AS category,
+               action_category(replace(replace(replace(action_type, 'gear', 'Jump'), 'ring', 'Layup'),
+                                       'hot', 'Fadeaway')) AS category,
                pct2(loc_x, loc_x + loc_y + 1) AS share,
                concat_zone(shot_zone_basic, shot_zone_area) AS zone
         FROM {attempts}""", attempts=attempts(spark, sf_dir))
@@ -267,6 +269,15 @@ def one_hot_flags(spark, sf_dir):
         *features.level_flags("period", range(6), "p"))
 
 
+@query
+def one_hot_labels(spark, sf_dir):
+    """Every level of the action category, and of a zone's first name, as 0/1 columns."""
+    rows = cells(spark, sf_dir).select("attempt_key", "shot_zone_basic", _action_category().alias("category"))
+    labels = [label for _, label in adapters.ACTION_RULES] + [S.ACTION_DEFAULT]
+    flagged = features.one_hot_labels(rows, {"category": labels, "shot_zone_basic": adapters.BRANDS})
+    return flagged.drop("shot_zone_basic", "category")
+
+
 def _elements(vector: str, size: int, prefix: str, kind: str = "int") -> list:
     array = vector_to_array(F.col(vector))
     return [array[i].cast(kind).alias(f"{prefix}{i}") for i in range(size)]
@@ -296,6 +307,19 @@ def vector_index(spark, sf_dir):
     return _vector_columns(indexed, "indexed_features", "f")
 
 
+@query
+def vector_index_values(spark, sf_dir):
+    """Features of three and four values become their ranks; one of many values stays."""
+    rows = attempts(spark, sf_dir).select(
+        "attempt_key", (F.col("loc_x") % 3 * 10 - 5).alias("three"), (F.col("loc_y") % 4 * 7 + 2).alias("four"),
+        F.col("loc_x").alias("many"))
+    assembled = VectorAssembler(inputCols=["three", "four", "many"], outputCol="features").transform(rows)
+    indexed = features.vector_indexer("features").fit(assembled).transform(assembled)
+    array = vector_to_array("indexed_features")
+    return indexed.select("attempt_key", "three", "four", "many", *(
+        array[i].cast("int").alias(f"{name}_index") for i, name in enumerate(("three", "four", "many"))))
+
+
 @query
 def max_abs_scale_vector(spark, sf_dir):
     rows = _assembled(spark, sf_dir)

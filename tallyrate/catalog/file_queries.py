@@ -44,6 +44,17 @@ def scan_resultset_json(spark, sf_dir):
     return files.with_constant(rows, "SEASON_TYPE", "Regular")
 
 
+@query
+def scan_resultset_files(spark, sf_dir):
+    """One document per file, as the logs of games are kept."""
+    log = adapters.event_log(adapters.events(spark, sf_dir))
+    path = fresh_path(spark, "result-set-files")
+    documents = adapters.result_set_documents(log, by_game=False)
+    documents.write.option("maxRecordsPerFile", 1).json(path)
+    rows = files.read_result_set(spark, path).drop("position")
+    return files.with_constant(rows, "SEASON_TYPE", "Regular")
+
+
 @query
 def scan_text(spark, sf_dir):
     path = fresh_path(spark, "text")

@@ -35,6 +35,12 @@ CATEGORY = """case when contains(action_type, 'gear') then 'Gear'
               when contains(action_type, 'cold') then 'Cold'
               when contains(action_type, 'hot') then 'Hot' else 'Else' end"""
 
+_NEEDED = "replace(replace(replace(action_type, 'gear', 'Jump'), 'ring', 'Layup'), 'hot', 'Fadeaway')"
+NEEDLES = f"""case when contains({_NEEDED}, 'Tip') then 'Tip Shot'
+              when contains({_NEEDED}, 'Layup') then 'Layup Shot'
+              when contains({_NEEDED}, 'Jump') then 'Jump Shot'
+              when contains({_NEEDED}, 'Fadeaway') then 'Fadeaway Shot' else 'Else' end"""
+
 CELLS = f"""
 cells as (
   select attempt_key, loc_x, loc_y, shot_zone_basic, shot_zone_area, action_type, shot_made_flag,
@@ -137,6 +143,11 @@ FLAGS = ", ".join(
     [f"case when dist_bin = {i} then 1 else 0 end as d{i}" for i in range(7)]
     + [f"case when period = {i} then 1 else 0 end as p{i}" for i in range(6)])
 
+LABEL_FLAGS = ", ".join(
+    [f"case when category = '{x}' then 1 else 0 end as category_{x}" for x in ("Gear", "Ring", "Cold", "Hot", "Else")]
+    + [f"case when shot_zone_basic = 'Brand#{i}{j}' then 1 else 0 end as shot_zone_basic_Brand_{i}{j}"
+       for i in range(1, 6) for j in range(1, 6)])
+
 # The 16 model features of every supported cell, as f0..f15.
 ASSEMBLED = f"""
 centres as (
@@ -238,7 +249,7 @@ ORACLES: dict[str, str] = {
                {BINS} as dist_bin,
                case when loc_x > 47 then 94 - loc_x else loc_x end as x_half,
                case when loc_x > 47 then 50 - loc_y else loc_y end as y_half,
-               'Else' as category,
+               {NEEDLES} as category,
                {PCT2.format('loc_x', '(loc_x + loc_y + 1)')} as share,
                concat(shot_zone_basic, ' ', shot_zone_area) as zone
         from attempts_v"""),
@@ -272,6 +283,14 @@ ORACLES: dict[str, str] = {
     "assemble_features": _features(f"select {CELL}, {FEATURES} from featured"),
     # every feature of at most four values is 0/1 here, so indexing keeps the values
     "vector_index": _features(f"select {CELL}, {FEATURES} from featured"),
+    "vector_index_values": _attempts("""
+        , v as (select attempt_key, loc_x % 3 * 10 - 5 as three, loc_y % 4 * 7 + 2 as four, loc_x as many
+                from attempts_v)
+        select *, cast(dense_rank() over (order by three) - 1 as int) as three_index,
+               cast(dense_rank() over (order by four) - 1 as int) as four_index, many as many_index from v"""),
+    "one_hot_labels": _cells(f"""
+        , labelled as (select attempt_key, shot_zone_basic, {CATEGORY} as category from cells)
+        select attempt_key, {LABEL_FLAGS} from labelled"""),
     "max_abs_scale_vector": _features(f"select {CELL}, {SCALED_FEATURES} from featured"),
     "vector_element": _features(
         f"select {CELL}, round(f0, 2) as x, round(f1, 2) as y from featured"),
@@ -294,8 +313,10 @@ ORACLES: dict[str, str] = {
         from united where shot_made_flag = 1"""),
     # event logs
     "forward_fill": _events("select game_id, eventnum, filled as scoremargin from timed"),
-    "forward_fill_large_groups": _events(
-        "select game_id, eventnum, filled as scoremargin from timed"),
+    "forward_fill_large_groups": _events("""
+        select 1 as season, eventnum, coalesce(last_value(scoremargin ignore nulls) over (
+                 order by eventnum rows between unbounded preceding and current row), '0') as scoremargin
+        from events_v"""),
     "time_key": _events("""
         select eventnum, exact_time as attempt_time, concat_ws(':', '00' || game_id, period,
                minutes_remaining || ':' || lpad(cast(seconds_remaining as varchar), 2, '0'))
@@ -367,6 +388,12 @@ ORACLES: dict[str, str] = {
                as "PCTIMESTRING", scoremargin as "SCOREMARGIN",
                homedescription as "HOMEDESCRIPTION", visitordescription as "VISITORDESCRIPTION",
                actioncode as "EVENTMSGACTIONTYPE", 'Regular' as "SEASON_TYPE" from events_v"""),
+    "scan_resultset_files": _events("""
+        select concat('00', game_id) as "GAME_ID", eventnum as "EVENTNUM", period as "PERIOD",
+               minutes_remaining || ':' || lpad(cast(seconds_remaining as varchar), 2, '0')
+               as "PCTIMESTRING", scoremargin as "SCOREMARGIN",
+               homedescription as "HOMEDESCRIPTION", visitordescription as "VISITORDESCRIPTION",
+               actioncode as "EVENTMSGACTIONTYPE", 'Regular' as "SEASON_TYPE" from events_v"""),
     "text_contains_counts": r"""
         with lines as (
           select 'documents' as source,

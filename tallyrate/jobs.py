@@ -1,11 +1,11 @@
 """Command-line jobs, for spark-submit.
 
-    spark-submit tallyrate/jobs.py prepare     --attempts A.csv --logs DIR --subject NAME --team CODE --out DIR
-    spark-submit tallyrate/jobs.py train-zones --attempts A.csv --model DIR [--regressor forest|small-forest|boosted]
-    spark-submit tallyrate/jobs.py train-clusters --attempts A.csv --model DIR [--rates DIR]
-    spark-submit tallyrate/jobs.py train-rates --rates DIR --model DIR
-    spark-submit tallyrate/jobs.py score       --model DIR --requests R.csv --out DIR
-    spark-submit tallyrate/jobs.py count-lines --text FILE [--needles a b]
+    spark-submit run_job.py prepare     --attempts A.csv --logs DIR --subject NAME --team CODE --out DIR
+    spark-submit run_job.py train-zones --attempts A.csv --model DIR [--regressor forest|small-forest|boosted]
+    spark-submit run_job.py train-clusters --attempts A.csv --model DIR [--rates DIR]
+    spark-submit run_job.py train-rates --rates DIR --model DIR
+    spark-submit run_job.py score       --model DIR --requests R.csv --out DIR
+    spark-submit run_job.py count-lines --text FILE [--needles a b]
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from tallyrate import schemas
 from tallyrate.operators import evaluate, models, text
+from tallyrate.operators.cells import incomplete_counts, with_cells
+from tallyrate.operators.split import with_split
 from tallyrate.plans import learned_zones, named_zones, prep, scoring, training
 from tallyrate.session import build_session
 from tallyrate.sources import files
@@ -33,18 +35,24 @@ def prepare(spark: SparkSession, args: argparse.Namespace) -> None:
     attempts = files.read_attempts(spark, args.attempts)
     log = written_table(files.read_result_set(spark, args.logs), "event-log")
     margins = prep.subject_margins(attempts, log, args.subject, args.team)
-    files.write_csv(prep.merge_margins(attempts, margins).drop(prep.TIME), f"{args.out}/attempts")
+    merged = prep.merge_margins(attempts, margins).drop(prep.TIME)
+    files.write_csv(merged, f"{args.out}/attempts")
+    incomplete_counts(merged, [prep.MARGIN]).show(truncate=False)
     files.write_csv(prep.reconcile(attempts, margins), f"{args.out}/differing_games")
 
 
 def train_zones(spark: SparkSession, args: argparse.Namespace) -> None:
-    rates = named_zones.zone_rates(files.read_attempts(spark, args.attempts), args.seed, ["index"],
+    attempts = files.read_attempts(spark, args.attempts)
+    incomplete_counts(with_cells(attempts), named_zones.REQUIRED).show(truncate=False)
+    rates = named_zones.zone_rates(attempts, args.seed, ["index"],
                                    split_level=args.split_level)
     _finish(args, *training.train_zone_model(rates, REGRESSORS[args.regressor](args.seed)))
 
 
 def train_clusters(spark: SparkSession, args: argparse.Namespace) -> None:
-    rates = written_table(learned_zones.cluster_rates(files.read_attempts(spark, args.attempts), args.seed), "rates")
+    attempts = files.read_attempts(spark, args.attempts)
+    incomplete_counts(learned_zones.binned(attempts), learned_zones.REQUIRED).show(truncate=False)
+    rates = written_table(learned_zones.cluster_rates(attempts, args.seed), "rates")
     if args.rates:
         files.write_rates(rates, args.rates)
     _finish(args, *training.train_cluster_model(rates, REGRESSORS[args.regressor](args.seed)))
@@ -52,12 +60,16 @@ def train_clusters(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def train_rates(spark: SparkSession, args: argparse.Namespace) -> None:
     rates = files.read_rates(spark, args.rates)
+    if "is_train" not in rates.columns:
+        rates = with_split(rates, learned_zones.CELL, args.seed)
     _finish(args, *training.train_cluster_model(rates, REGRESSORS[args.regressor](args.seed)))
 
 
 def score(spark: SparkSession, args: argparse.Namespace) -> None:
-    requests = files.read_csv(spark, args.requests, schemas.REQUESTS)
-    files.write_csv(scoring.score(models.load(args.model), requests), args.out)
+    model = models.load(args.model)
+    schema = schemas.REQUESTS if scoring.expected_by(model).scaled else schemas.RAW_REQUESTS
+    requests = files.read_csv(spark, args.requests, schema)
+    files.write_csv(scoring.score(model, requests), args.out)
 
 
 def count_lines(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import (MaxAbsScaler, OneHotEncoder, OneHotEncoderModel, StringIndexer,
@@ -31,19 +32,26 @@ SCALED_INPUTS = Inputs("x_center_scaled", "y_center_scaled", "margin_scaled")
 RAW_INPUTS = Inputs("x_center", "y_center", "margin_cat")
 
 
-def one_hot_encoder(spark: SparkSession, last_period: int = S.LAST_PERIOD) -> OneHotEncoderModel:
-    """One slot per level 0..max, none dropped.
+def level_encoder(spark: SparkSession, levels: Mapping[str, int],
+                  outputs: Sequence[str] | None = None) -> OneHotEncoderModel:
+    """One slot per level of each column, levels 0..n-1, none dropped.
 
-    Fitted on the largest levels of the fixed domains instead of on data: no
-    pass over the rows, and a level absent from the training rows keeps its slot.
+    Fitted on the number of levels instead of on data: no pass over the rows, and a level absent
+    from the training rows keeps its slot.
     """
-    largest = spark.createDataFrame([(DISTANCE_LEVELS - 1, last_period)],
-                                    "dist_bin int, period int")
-    return OneHotEncoder(inputCols=["dist_bin", "period"],
-                         outputCols=["dist_onehot", "period_onehot"],
+    largest = spark.createDataFrame([tuple(n - 1 for n in levels.values())],
+                                    ", ".join(f"`{name}` int" for name in levels))
+    return OneHotEncoder(inputCols=list(levels),
+                         outputCols=list(outputs or (f"{name}_onehot" for name in levels)),
                          dropLast=False).fit(largest)
 
 
+def one_hot_encoder(spark: SparkSession, last_period: int = S.LAST_PERIOD) -> OneHotEncoderModel:
+    """The two one-hot blocks of the models."""
+    return level_encoder(spark, {"dist_bin": DISTANCE_LEVELS, "period": last_period + 1},
+                         ["dist_onehot", "period_onehot"])
+
+
 def assembler(inputs: Inputs = SCALED_INPUTS) -> VectorAssembler:
     """x, y, distance one-hot (7), margin, period one-hot (6): 16 features."""
     return VectorAssembler(inputCols=[inputs.x, inputs.y, "dist_onehot", inputs.margin,
@@ -77,7 +85,13 @@ def index_in_place(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
-def level_flags(column: str, levels: Sequence[int], prefix: str) -> list[Column]:
-    """One 0/1 column per level."""
-    return [F.when(F.col(column) == level, F.lit(1)).otherwise(F.lit(0)).alias(f"{prefix}{level}")
-            for level in levels]
+def level_flags(column: str, levels: Sequence, prefix: str) -> list[Column]:
+    """One 0/1 column per level; of labels, the column is named by the label's letters and digits."""
+    return [F.when(F.col(column) == level, F.lit(1)).otherwise(F.lit(0)).alias(
+        prefix + re.sub("[^0-9A-Za-z]+", "_", str(level))) for level in levels]
+
+
+def one_hot_labels(df: DataFrame, levels: Mapping[str, Sequence]) -> DataFrame:
+    """`df` with one 0/1 column per level of each column, whether rows have it or not."""
+    return df.select("*", *(flag for column, values in levels.items()
+                            for flag in level_flags(column, values, f"{column}_")))

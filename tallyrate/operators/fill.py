@@ -2,54 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyrate.storage import written_table
 
-GROUP_ROWS = 1_000_000
 
-# Up to this many large groups are told apart by a broadcast list of their keys.
-LISTED_GROUPS = 100_000
-
-
-def forward_fill(log: DataFrame, value: str, group: str, order: str, default: str = "0",
-                 group_rows: int = GROUP_ROWS, listed_groups: int = LISTED_GROUPS) -> DataFrame:
+def forward_fill(log: DataFrame, value: str, group: str, order: str, default: str = "0") -> DataFrame:
     """Missing values take the last earlier one of their group, or `default`.
 
-    Groups up to `group_rows` rows are one window partition each. Larger groups
-    are cut along the whole-number `order` column, unique within a group, into
-    blocks of `group_rows` order values; blocks are filled side by side and the
-    last value of each is handed on through a table with one row per block. With
-    more than `listed_groups` large groups, every group is cut.
+    Rows are range-partitioned by group and order, so a large group lies in several partitions,
+    one after the other, and each partition is filled by itself. Only the first group of a
+    partition can go on from an earlier one: what it carries over is a table of at most one row
+    per partition, which is broadcast. Null orders come first. Of rows with the same order those
+    with a value come first, by value.
     """
-    sizes = log.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    large = written_table(sizes.where(F.col("_n") > group_rows).select(group), "large-groups")
-    large_groups = large.count()
-    if large_groups == 0:
-        return log.withColumn(value, F.coalesce(_last_so_far(value, order, group), F.lit(default)))
-
-    block = F.floor(F.col(order) / group_rows)
-    if large_groups <= listed_groups:
-        listed = F.broadcast(large.withColumn("_large", F.lit(True)))
-        cut = log.join(listed, group, "left").withColumn(
-            "_block", F.when(F.col("_large"), block)).drop("_large")
-    else:
-        cut = log.withColumn("_block", block)
-
-    blocks = cut.where(F.col("_block").isNotNull()).groupBy(group, "_block").agg(
-        F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("_last"))
-    before = Window.partitionBy(group).orderBy("_block").rowsBetween(
-        Window.unboundedPreceding, -1)
-    carried = written_table(blocks.select(
-        group, "_block", F.last("_last", ignorenulls=True).over(before).alias("_carried")),
-        "carried-values")
-    filled = cut.withColumn(value, _last_so_far(value, order, group, "_block"))
-    return filled.join(carried, [group, "_block"], "left").withColumn(
-        value, F.coalesce(value, "_carried", F.lit(default))).select(*log.columns)
-
-
-def _last_so_far(value: str, order: str, *groups: str) -> Column:
-    so_far = Window.partitionBy(*groups).orderBy(order).rowsBetween(
+    places = [F.col(group), F.col(order), F.col(value).asc_nulls_last()]
+    ranged = written_table(log.repartitionByRange(*places).withColumn(
+        "_part", F.spark_partition_id()), "ranged-log")
+    so_far = Window.partitionBy(group, "_part").orderBy(order, F.col(value).asc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    return F.last(value, ignorenulls=True).over(so_far)
+    filled = ranged.withColumn(value, F.last(value, ignorenulls=True).over(so_far))
+
+    last = F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(F.lit(1), order, value)))
+    ends = ranged.groupBy(group, "_part").agg(last.alias("_last"))
+    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(
+        F.col(group).alias("_group"), F.col("_part").alias("_into"),
+        F.last("_last", ignorenulls=True).over(before).alias("_carried")).where("_carried is not null")
+    return filled.join(
+        F.broadcast(carried), F.col(group).eqNullSafe(F.col("_group")) & (F.col("_part") == F.col("_into")), "left",
+    ).withColumn(value, F.coalesce(value, "_carried", F.lit(default))).select(*log.columns)

@@ -24,7 +24,10 @@ def bucket(keys: Sequence[str], seed: int) -> Column:
 
 def with_split(df: DataFrame, keys: Sequence[str], seed: int,
                share: float = TRAIN_SHARE, name: str = "is_train") -> DataFrame:
-    return df.withColumn(name, bucket(keys, seed) < round(share * BUCKETS))
+    taken = round(share * BUCKETS)
+    if not 0 <= share <= 1 or (0 < share < 1 and taken in (0, BUCKETS)):
+        raise ValueError(f"a share of {share} leaves one side of the split empty; the step is 1/{BUCKETS}")
+    return df.withColumn(name, bucket(keys, seed) < taken)
 
 
 def split(df: DataFrame, keys: Sequence[str], seed: int,

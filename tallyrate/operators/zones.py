@@ -7,8 +7,6 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyrate.storage import written_table
-
 CLUSTERS = 20
 
 
@@ -26,9 +24,9 @@ def centroids_of_counts(counted: DataFrame) -> DataFrame:
 
 
 def join_centroids(rows: DataFrame, centroids: DataFrame) -> DataFrame:
-    """Attach each zone's centre. The centres are written first, so their exact
-    size tells Spark whether to broadcast them or to shuffle both sides."""
-    return rows.join(written_table(centroids, "zone-centres"), "zone")
+    """Attach each zone's centre. Adaptive execution measures the centres as they are made and
+    broadcasts them while they are small."""
+    return rows.join(centroids, "zone")
 
 
 def location_points(attempts: DataFrame) -> DataFrame:

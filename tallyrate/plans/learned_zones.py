@@ -13,9 +13,19 @@ from tallyrate.operators.zones import CLUSTERS, assign_zones, fit_zones
 from tallyrate.storage import fixed_order_table, written_table
 
 POINT_CELL = ("loc_x", "loc_y", "dist_bin", "margin_cat", "period")
+REQUIRED = (*POINT_CELL, FLAG)
 CELL = ("x_center", "y_center", "dist_bin", "margin_cat", "period")
 
 
+def binned(attempts: DataFrame) -> DataFrame:
+    """Attempts of the half court with bins, located to whole feet as named zones are."""
+    return in_half_court(attempts).withColumns({
+        "loc_x": F.col("loc_x").try_cast("int"), "loc_y": F.col("loc_y").try_cast("int"),
+        "dist_bin": S.distance_bin(F.col("defender_distance")),
+        "margin_cat": S.margin_category(F.col("scoremargin")),
+    })
+
+
 def cluster_rates(attempts: DataFrame, seed: int, k: int = CLUSTERS,
                   min_support: int = R.MIN_SUPPORT, outcomes: str = "both",
                   share: float = TRAIN_SHARE) -> DataFrame:
@@ -25,12 +35,8 @@ def cluster_rates(attempts: DataFrame, seed: int, k: int = CLUSTERS,
     assignment and the regrouping by centre then work on that table, whose size
     is set by the court and the bins. Periods are not clamped here.
     """
-    binned = in_half_court(attempts).withColumns({
-        "dist_bin": S.distance_bin(F.col("defender_distance")),
-        "margin_cat": S.margin_category(F.col("scoremargin")),
-    })
     points = written_table(
-        R.cell_table(drop_incomplete(binned, (*POINT_CELL, FLAG)), POINT_CELL), "point-cells")
+        R.cell_table(drop_incomplete(binned(attempts), REQUIRED), POINT_CELL), "point-cells")
     weighted = fixed_order_table(
         points.groupBy("loc_x", "loc_y").agg(F.sum("total").alias("weight")), "points")
     placed = assign_zones(points, fit_zones(weighted, seed, k)).withColumns({

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyrate.functions import scalars as S
 from tallyrate.operators import matching as M
-from tallyrate.operators.fill import GROUP_ROWS, forward_fill
+from tallyrate.operators.fill import forward_fill
 from tallyrate.storage import written_table
 
 TIME, MARGIN = "TIME", "SCOREMARGIN"
@@ -18,8 +18,7 @@ def with_attempt_time(attempts: DataFrame) -> DataFrame:
         F.col("game_id"), F.col("period"), F.col("minutes_remaining"), F.col("seconds_remaining")))
 
 
-def subject_margins(attempts: DataFrame, log: DataFrame, subject: str, team: str,
-                    group_rows: int = GROUP_ROWS) -> DataFrame:
+def subject_margins(attempts: DataFrame, log: DataFrame, subject: str, team: str) -> DataFrame:
     """Margins at the subject's attempts: GAME_ID, TIME, SCOREMARGIN.
 
     All games at once. The filters on the log run before its join with the known
@@ -32,7 +31,7 @@ def subject_margins(attempts: DataFrame, log: DataFrame, subject: str, team: str
     home_team = written_table(M.first_per_game(attempts, "htm", "game_id", "index"), "home-teams")
     known = timed.select("game_id", TIME).distinct().join(home_team, "game_id").select(
         TIME, (F.col("htm") == team).alias("at_home"))
-    filled = forward_fill(log, MARGIN, "GAME_ID", "EVENTNUM", group_rows=group_rows)
+    filled = forward_fill(log, MARGIN, "GAME_ID", "EVENTNUM")
     counted = M.either_side_matches(M.without_codes(filled, "EVENTMSGACTIONTYPE"),
                                     "HOMEDESCRIPTION", "VISITORDESCRIPTION")
     keyed = counted.withColumn(TIME, S.log_time_key(

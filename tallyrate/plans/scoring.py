@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import OneHotEncoderModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyrate.functions import scalars as S
-from tallyrate.operators.features import DISTANCE_LEVELS
+from tallyrate.operators import features
 
 
 def requests_of(cells: DataFrame) -> DataFrame:
@@ -18,30 +21,65 @@ def requests_of(cells: DataFrame) -> DataFrame:
         "dist_bin", "margin_cat", "period")
 
 
-def scorable(requests: DataFrame) -> Column:
+def raw_requests_of(binned: DataFrame) -> DataFrame:
+    """The same for a model of learned zones."""
+    return binned.select(F.col("loc_x").cast("double").alias("x_center"),
+                         F.col("loc_y").cast("double").alias("y_center"),
+                         "dist_bin", "margin_cat", "period")
+
+
+@dataclass(frozen=True)
+class Expected:
+    """What a saved pipeline takes: its inputs and the levels its encoder knows."""
+
+    inputs: features.Inputs
+    distances: int
+    periods: int
+
+    @property
+    def scaled(self) -> bool:
+        """Models of named zones take scaled inputs and clamped periods."""
+        return self.inputs == features.SCALED_INPUTS
+
+
+def expected_by(model: PipelineModel) -> Expected:
+    encoder = next(s for s in model.stages if isinstance(s, OneHotEncoderModel))
+    assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
+    sizes = dict(zip(encoder.getInputCols(), encoder.categorySizes))
+    x, y, _, margin, _ = assembler.getInputCols()
+    return Expected(features.Inputs(x, y, margin), sizes["dist_bin"], sizes["period"])
+
+
+def scorable(expected: Expected) -> Column:
     """Complete, and with a distance bin and period the encoder knows."""
-    known = (F.col("dist_bin").between(0, DISTANCE_LEVELS - 1) & (F.col("period") >= 0)
+    known = (F.col("dist_bin").between(0, expected.distances - 1) & (F.col("period") >= 0)
              & F.col("margin_cat").isNotNull())
-    for name in ("x_center_scaled", "y_center_scaled"):
+    if not expected.scaled:
+        known = known & (F.col("period") < expected.periods)
+    for name in (expected.inputs.x, expected.inputs.y):
         known = known & F.col(name).isNotNull() & ~F.isnan(name)
     return F.coalesce(known, F.lit(False))
 
 
 def score(model: PipelineModel, requests: DataFrame) -> DataFrame:
     """The requests with `prediction` and the same as percent text. A request
-    that cannot be scored keeps its row and gets neither."""
-    usable = scorable(requests)
+    that cannot be scored keeps its row and gets neither. The pipeline itself says whether it
+    takes `schemas.REQUESTS` or `schemas.RAW_REQUESTS`."""
+    expected = expected_by(model)
+    usable = scorable(expected)
 
     def or_zero(value: Column) -> Column:
         return F.when(usable, value).otherwise(F.lit(0))
 
+    margin, period = S.clamp_margin(F.col("margin_cat")), F.col("period")
+    if expected.scaled:
+        margin, period = S.scale_margin(margin), S.clamp_period(period)
     prepared = requests.select(
         F.struct("*").alias("request"), usable.alias("usable"),
-        or_zero(F.col("x_center_scaled")).alias("x_center_scaled"),
-        or_zero(F.col("y_center_scaled")).alias("y_center_scaled"),
+        or_zero(F.col(expected.inputs.x)).alias(expected.inputs.x),
+        or_zero(F.col(expected.inputs.y)).alias(expected.inputs.y),
         or_zero(F.col("dist_bin")).alias("dist_bin"),
-        or_zero(S.scale_margin(S.clamp_margin(F.col("margin_cat")))).alias("margin_scaled"),
-        or_zero(S.clamp_period(F.col("period"))).alias("period"))
+        or_zero(margin).alias(expected.inputs.margin), or_zero(period).alias("period"))
     scored = model.transform(prepared).select(
         "request.*", F.when(F.col("usable"), F.col("prediction")).alias("prediction"))
     return scored.withColumn("percent", F.when(

@@ -43,6 +43,15 @@ RESULT_SET_DOCUMENT = T.StructType([
     ]))),
 ])
 
+# Requests to a model of learned zones, in raw coordinates; periods are not clamped.
+RAW_REQUESTS = T.StructType([
+    T.StructField("x_center", T.DoubleType()),
+    T.StructField("y_center", T.DoubleType()),
+    T.StructField("dist_bin", T.IntegerType()),
+    T.StructField("margin_cat", T.IntegerType()),
+    T.StructField("period", T.IntegerType()),
+])
+
 REQUESTS = T.StructType([
     T.StructField("x_center_scaled", T.DoubleType()),
     T.StructField("y_center_scaled", T.DoubleType()),

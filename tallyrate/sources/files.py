@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -13,21 +13,30 @@ from tallyrate import schemas
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = schemas.ATTEMPTS) -> DataFrame:
     """Headed CSV whose header must name the schema's columns; an empty cell is
-    null. Without a schema the types are inferred, at the price of a pass, and an
-    unnamed index column is called `_c0`."""
+    null, and a cell that is not of its column's type stops the read. Without a schema the
+    types are inferred, at the price of a pass, and an unnamed index column is called `_c0`."""
     if schema is None:
         return spark.read.csv(path, header=True, inferSchema=True)
-    return spark.read.schema(schema).csv(path, header=True, enforceSchema=False)
+    return spark.read.schema(schema).csv(path, header=True, enforceSchema=False, mode="FAILFAST")
 
 
 def read_attempts(spark: SparkSession, path: str) -> DataFrame:
     """Attempts from a headed CSV that may lack some of the known columns or have
-    others, which are read as text. An unnamed first column becomes `index`."""
+    others, which are read as text. An unnamed first column becomes `index`.
+
+    The header of every file is held against that of the first: files that name or order their
+    columns differently stop the read, and so does a cell that is not of its column's type.
+    """
     known = {field.name: field for field in schemas.ATTEMPTS}
-    names = spark.read.csv(path, header=True).columns
-    named = ["index" if name == "_c0" and "index" not in names else name for name in names]
-    fields = [known.get(name, StructField(name, StringType())) for name in named]
-    return spark.read.schema(StructType(fields)).csv(path, header=True)
+    first = spark.read.csv(path, header=False).first()
+    header = [name or "" for name in first] if first else schemas.ATTEMPTS.names
+    named = ["index" if at == 0 and not name and "index" not in header else name or f"_c{at}"
+             for at, name in enumerate(header)]
+    types = [known[name].dataType if name in known else StringType() for name in named]
+    fields = [StructField(name, kind) for name, kind in zip(header, types)]
+    read = spark.read.schema(StructType(fields)).csv(
+        path, header=True, enforceSchema=False, mode="FAILFAST")
+    return read.toDF(*named)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -41,17 +50,21 @@ def read_result_set(spark: SparkSession, path: str, fields: StructType = schemas
     A document holds parallel `headers` and `rowSet` arrays. Cells are picked by
     header, so documents may order their columns differently; a header absent
     from a document gives nulls. `position` is the row's place in its document.
-    `whole_files` reads one document per file, otherwise one per line.
+    `whole_files` reads one document per file, otherwise one per line. A malformed document,
+    and a cell that is not of its field's type, stop the read.
     """
-    documents = spark.read.schema(schemas.RESULT_SET_DOCUMENT).json(path, multiLine=whole_files)
+    documents = spark.read.schema(schemas.RESULT_SET_DOCUMENT).json(
+        path, multiLine=whole_files, mode="FAILFAST")
     rows = documents.select(F.get("resultSets", F.lit(result)).alias("r")).select(
         "r.headers", F.posexplode("r.rowSet").alias("position", "cells"))
-    cells = [
-        F.get("cells", F.array_position("headers", F.lit(field.name)).cast("int") - 1)
-        .try_cast(field.dataType).alias(field.name)
-        for field in fields
-    ]
-    return rows.select("position", *cells)
+    return rows.select("position", *(_typed_cell(field) for field in fields))
+
+
+def _typed_cell(field: StructField) -> Column:
+    cell = F.get("cells", F.array_position("headers", F.lit(field.name)).cast("int") - 1)
+    value = cell.try_cast(field.dataType)
+    wrong = F.raise_error(F.concat(F.lit(f"{field.name} holds "), cell)).cast(field.dataType)
+    return F.when(cell.isNotNull() & value.isNull(), wrong).otherwise(value).alias(field.name)
 
 
 def with_constant(df: DataFrame, name: str, value: str) -> DataFrame:

@@ -9,6 +9,7 @@ whole input.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -24,7 +25,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if context.applicationId not in _local_folders:
         _local_folders[context.applicationId] = tempfile.TemporaryDirectory(
@@ -47,14 +48,17 @@ def written_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fixed_order_table(df: DataFrame, name: str) -> DataFrame:
-    """A written table whose rows always land in the same file and place. Seeded
-    fits draw rows by place, so they repeat only on such a table."""
-    spark = df.sparkSession
-    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                spark.sparkContext.defaultParallelism)
+# Partitions that a seeded fit reads. The draws of a fit depend on this number, so it does not
+# follow the machine; raise it for rate tables of more than some ten million cells.
+FIT_PARTITIONS = 16
+
+
+def fixed_order_table(df: DataFrame, name: str, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """A written table whose rows are read in the same partition and order on any cluster.
+    Seeded fits draw rows by place, so they repeat only on such a table. The placing follows
+    the reading, which packs files by size and cores."""
     keys = [field.name for field in df.schema if isinstance(field.dataType, T.AtomicType)]
-    return written_table(df.repartition(parts, *keys).sortWithinPartitions(*keys), name)
+    return written_table(df, name).repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 
 def drop_written_tables(spark: SparkSession) -> None:

@@ -32,15 +32,31 @@ def skewed_log(count=900, seed=2):
     return rows + [("never", i, None) for i in range(40)]
 
 
-@pytest.mark.parametrize("group_rows, listed_groups", [(10_000, 10), (100, 10), (30, 0), (1, 10)])
-def test_forward_fill_equals_the_loop(spark, rows_of, group_rows, listed_groups):
+@pytest.mark.parametrize("partitions", [1, 4, 64])
+def test_forward_fill_equals_the_loop(spark, settings, partitions):
+    settings(spark__sql__shuffle__partitions=str(partitions))
     rows = skewed_log()
     log = spark.createDataFrame(rows, "g string, n bigint, m string").repartition(5)
-    out = forward_fill(log, "m", "g", "n", group_rows=group_rows, listed_groups=listed_groups)
+    out = forward_fill(log, "m", "g", "n")
     assert out.columns == ["g", "n", "m"]
     assert sorted(tuple(r) for r in out.collect()) == sorted(filled_by_loop(rows))
 
 
+@pytest.mark.parametrize("partitions", [1, 64])
+@pytest.mark.parametrize("order", ["n", "timestamp_seconds(n * 1000)", "n / 7", "n * 1000003"])
+def test_forward_fill_by_any_order(spark, settings, partitions, order):
+    settings(spark__sql__shuffle__partitions=str(partitions))
+    rows = [("g", None, "9"), ("g", 1, None), ("g", 2, "3"), ("h", None, None), ("h", 5, None), (None, 1, None),
+            (None, None, "4"), ("t", 1, None), ("t", 1, "2"), ("t", 1, "1"), ("t", 2, None)]
+    rows += [("big", i, "7" if i == 100 else None) for i in range(400)]
+    log = spark.createDataFrame(rows, "g string, n bigint, m string").withColumn("n", F.expr(order))
+    filled = forward_fill(log, "m", "g", "n").groupBy("g").agg(F.collect_list("m").alias("m")).collect()
+    found = {r.g: sorted(r.m) for r in filled}
+    assert found["g"] == ["3", "9", "9"] and found["h"] == ["0", "0"] and found[None] == ["4", "4"]
+    assert found["t"] == ["1", "2", "2", "2"]
+    assert found["big"] == ["0"] * 100 + ["7"] * 300
+
+
 def test_first_per_game(spark, rows_of):
     df = spark.createDataFrame([(1, 2, "O"), (1, 1, "F"), (2, 5, "O")], "g int, n int, htm string")
     assert rows_of(matching.first_per_game(df, "htm", "g", "n")) == [(1, "F"), (2, "O")]
@@ -138,10 +154,9 @@ def prepared_by_loop():
     return merged, margins
 
 
-@pytest.mark.parametrize("group_rows", [1000, 2])
-def test_preparation_equals_the_loop(game_tables, rows_of, group_rows):
+def test_preparation_equals_the_loop(game_tables, rows_of):
     made_at, log = game_tables
-    margins = prep.subject_margins(made_at, log, "user", "O", group_rows=group_rows)
+    margins = prep.subject_margins(made_at, log, "user", "O")
     merged, expected_margins = prepared_by_loop()
     assert sorted((r.TIME, r.SCOREMARGIN) for r in margins.collect()) == sorted(expected_margins)
     result = prep.merge_margins(made_at, margins)

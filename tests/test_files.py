@@ -76,6 +76,34 @@ def test_documents_are_bounded_and_lossless(spark, tmp_path, rows_of):
     assert rows_of(again.drop("position")) == rows_of(log)
 
 
+def test_files_with_other_headers_or_bad_cells_stop_the_read(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "1.csv").write_text(",loc_x,loc_y\n0,1.5,2\n")
+    read = files.read_attempts(spark, str(tmp_path / "a"))
+    assert [tuple(r) for r in read.collect()] == [(0, 1.5, 2.0)] and read.columns == ["index", "loc_x", "loc_y"]
+    (tmp_path / "a" / "2.csv").write_text(",loc_y,loc_x\n0,1.5,2\n")
+    with pytest.raises(Exception, match="header|CSV|FAILED_READ_FILE"):
+        files.read_attempts(spark, str(tmp_path / "a")).collect()
+    for cells in ("2O,1.0,2", "0,x1,2", "0,1.0"):
+        path = tmp_path / f"bad-{len(cells)}-{cells[0]}.csv"
+        path.write_text(f"index,loc_x,loc_y\n{cells}\n")
+        with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+            files.read_attempts(spark, str(path)).collect()
+
+
+def test_bad_documents_stop_the_read(spark, tmp_path):
+    good = {"resultSets": [{"name": "p", "headers": ["GAME_ID", "EVENTNUM"], "rowSet": [["001", "1"]]}]}
+    (tmp_path / "1.json").write_text(json.dumps(good))
+    assert files.read_result_set(spark, str(tmp_path)).count() == 1
+    (tmp_path / "2.json").write_text(json.dumps(good)[:60])
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+        files.read_result_set(spark, str(tmp_path)).collect()
+    good["resultSets"][0]["rowSet"][0][1] = "one"
+    (tmp_path / "2.json").write_text(json.dumps(good))
+    with pytest.raises(Exception, match="EVENTNUM holds one"):
+        files.read_result_set(spark, str(tmp_path)).collect()
+
+
 def test_constant_column_and_requests(spark):
     requests = files.requests_from_rows(spark, [(0.4, -0.05, 0, 2, 1)])
     assert requests.schema == schemas.REQUESTS
@@ -116,5 +144,7 @@ class _Session:
 def test_a_cluster_without_shared_folder_is_refused():
     with pytest.raises(RuntimeError):
         storage.shared_folder(_Session("yarn"))
+    with pytest.raises(RuntimeError):
+        storage.shared_folder(_Session("local-cluster[2,1,1024]"))
     assert storage.shared_folder(_Session("yarn", "hdfs:///shared")) == "hdfs:///shared"
     assert storage.shared_folder(_Session("local[2]")) == storage.shared_folder(_Session("local[2]"))

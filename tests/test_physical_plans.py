@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tests.test_oracles import CORE_SQL
 from tallyrate import adapters
+from tallyrate.catalog import property_queries
 from tallyrate.operators import matching, rates
 from tallyrate.operators.cells import with_cells
 from tallyrate.plans import prep
@@ -22,7 +24,8 @@ def optimized(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-RELATIONAL = [name for name in entry.oracle_sql() if name not in (
+RELATIONAL = [name for name in CORE_SQL if name not in (
+    *property_queries.QUERIES, "vector_index_values",
     "assemble_features", "vector_index", "max_abs_scale_vector", "vector_element", "vector_from_array",
     "rate_table_roundtrip", "one_hot", "string_index_stage", "model_roundtrip",
     "learned_zone_totals")]
@@ -104,7 +107,7 @@ def test_a_hot_time_is_split_when_margins_are_merged(spark, shuffled_joins):
                  F.lit(":30")).alias("PCTIMESTRING"),
         F.lit("7").alias("SCOREMARGIN"), F.lit("MISS user").alias("HOMEDESCRIPTION"),
         F.lit(None).cast("string").alias("VISITORDESCRIPTION"), F.lit(1).alias("EVENTMSGACTIONTYPE"))
-    margins = prep.subject_margins(attempts, log, "user", "O", group_rows=1_000)
+    margins = prep.subject_margins(attempts, log, "user", "O")
     at_zero = log.where("PCTIMESTRING = '0:30'").count()
     assert margins.where("TIME = '001:1:0:30'").count() == at_zero == 15_000
     few = margins.where("TIME <> '001:1:0:30'")

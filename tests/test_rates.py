@@ -194,6 +194,12 @@ def test_zone_rates_options(spark):
         zone_rates(rows, 42, ["index"], split_level="row")
 
 
+def test_a_share_that_empties_a_side_is_refused(spark):
+    with pytest.raises(ValueError):
+        split.with_split(spark.range(3), ["id"], 1, share=0.0004)
+    assert split.with_split(spark.range(3), ["id"], 1, share=0.0).where("is_train").count() == 0
+
+
 def test_rmse_and_baseline(spark):
     df = spark.createDataFrame([(0.0, 1.0), (1.0, 1.0)], "fg double, prediction double")
     assert tuple(evaluate.rmse(df).first()) == (pytest.approx(0.5 ** 0.5), 2)
