@@ -149,6 +149,25 @@ def in_filter(rows: DataFrame, column: str, bitmap: DataFrame) -> DataFrame:
             F.getbit(byte.cast("int"), (bit % 8).cast("int")) == 1, F.lit(False))).drop("_bucket", "_bits")
 
 
+def key_bits(keys: DataFrame, column: str) -> np.ndarray:
+    """The same for a column that is a hash already, as bits at its remainders, to hand to
+    Python tasks: `FILTER_BITS` bits, whatever the number of keys."""
+    place = F.pmod(F.col(column), F.lit(FILTER_BITS)) + 1
+    bitmap = keys.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit")).groupBy(
+        "bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for row in bitmap.toLocalIterator():
+        part = np.frombuffer(row.bits, np.uint8)
+        out[(row.bucket - 1) * len(part):][:len(part)] = part
+    return out
+
+
+def among_bits(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether each unsigned hash may be one of the keys."""
+    place = (hashes & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+    return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+
+
 def tiled(rows: DataFrame, keys: list[str], spread: Column, tile: int, name: str) -> DataFrame:
     """Cut the groups of `keys` into tiles of about `tile` rows and deal out pairs of tiles.
 
