@@ -173,9 +173,10 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text: str = "t
     shared = written_table(seen.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("owner"))
                            .where("n > 1"), "shared-chunks")
     parts = written_table(_shared_parts(rows, shared, path), "encoded-chunks")
-    users = seen.join(shared.select("chunk"), "chunk").distinct()
-    lists = written_table(users.join(parts, "chunk").groupBy("key").agg(
-        F.collect_list(F.struct("chunk", "part")).alias("parts")), "document-chunks")
+    # Both sides are plain scans, so a chunk that many documents share can be split.
+    users = written_table(seen.join(parts, "chunk"), "chunk-users")
+    lists = written_table(users.groupBy("key").agg(
+        F.collect_set(F.struct("chunk", "part")).alias("parts")), "document-chunks")
     known = common.in_filter(rows, "key", common.key_filter(lists, "key"))
     none = F.lit(None).cast(lists.schema["parts"].dataType)
     alone = known.where("not _maybe").select("id", "text", none.alias("parts"))
