@@ -10,15 +10,15 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyrate.llm import common
 from tallyrate.storage import written_table
@@ -98,11 +98,16 @@ def fit(labelled: DataFrame, text: str = "text", language: str = "lang",
     return TextModel(languages, np.stack(columns, axis=1).astype(np.float32))
 
 
-def _evidence(model: TextModel):
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def of_texts(texts: pd.Series) -> pd.Series:
-        return texts.map(model.evidence, na_action=None)
-    return of_texts
+def _with_evidence(rows: DataFrame, text: str, model: TextModel) -> DataFrame:
+    """`rows`, whose names differ, with `_logs`; a few megabytes of text at a time."""
+    schema = T.StructType([*rows.schema.fields, T.StructField("_logs", T.ArrayType(T.DoubleType()))])
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.byte_sized(batches, text):
+            logs = pa.array([model.evidence(x) for x in batch.column(text).to_pylist()], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, logs], names=schema.names)
+
+    return common.map_batches(rows, of_batches, schema)
 
 
 def _normal(logs: Column) -> Column:
@@ -130,18 +135,33 @@ def identify(rows: DataFrame, model: TextModel, text: str, declared: str,
     A null declaration or host is a value of its own. Repeated rows count each. Columns of
     `rows` that have the added names are left out.
     """
-    common.ship_package(rows.sparkSession)
+    named = {c: f"c{i}" for i, c in enumerate(rows.columns)}
+    flat = rows.toDF(*named.values()).withColumn(named[text], F.col(named[text]).cast("string"))
+    needed = list(dict.fromkeys(named[c] for c in (text, declared, *levels)))
+    keys = named[declared], [named[c] for c in levels]
+    carried = {named[c]: c for c in rows.columns if c not in ADDED}
+    return _decided(_keyed(_with_evidence(flat.select(*needed), named[text], model), *keys),
+                    _keyed(_with_evidence(flat, named[text], model), *keys, carried), model, len(levels))
+
+
+ADDED = ("language", "probability", "text_language")
+
+
+def _keyed(rows: DataFrame, declared: str, levels: Sequence[str],
+           carried: Mapping[str, str] | None = None) -> DataFrame:
+    """The evidence under fixed names, with the carried columns, renamed, as `_row`."""
+    row = [F.struct(*(F.col(c).alias(name) for c, name in carried.items())).alias("_row")] if carried else []
+    return rows.select(
+        *row, F.coalesce(F.lower(F.col(declared).cast("string")), F.lit("")).alias("_declared"),
+        *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_level{i}") for i, c in enumerate(levels)), "_logs")
+
+
+def _decided(narrow: DataFrame, scored: DataFrame, model: TextModel, depth: int) -> DataFrame:
+    """Decide the rows of `scored` by the evidence of `narrow`, the same rows without `_row`."""
     names = (*model.languages, UNKNOWN)
     size = len(names)
-    keys = [f"_level{i}" for i in range(len(levels))]
-    seen = rows.select(
-        F.struct(*(F.col(f"`{c}`") for c in rows.columns
-                   if c not in ("language", "probability", "text_language"))).alias("_row"),
-        F.coalesce(F.lower(F.col(f"`{declared}`").cast("string")), F.lit("")).alias("_declared"),
-        *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(k) for c, k in zip(levels, keys)),
-        F.col(f"`{text}`").cast("string").alias("_text"))
-    scored = seen.withColumn("_logs", _evidence(model)("_text")).drop("_text")
-    known = written_table(scored.where("_logs is not null").select(
+    keys = [f"_level{i}" for i in range(depth)]
+    known = written_table(narrow.where("_logs is not null").select(
         "_declared", *keys, _normal(F.col("_logs")).alias("_p")), "text-evidence")
 
     # P(l) over the whole corpus, then one level after the other.
@@ -184,27 +204,43 @@ def identify(rows: DataFrame, model: TextModel, text: str, declared: str,
         F.when(none, UNKNOWN).otherwise(best(F.col("_logs"))).alias("text_language"))
 
 
+PAGE_PARTS = ("text", "declared", "host", "domain", "suffix")
+
+
 def page_parts(pages: DataFrame, url: str = "url", markup: str = "html") -> DataFrame:
     """`pages` with the visible `text`, the `declared` language, and `host`, `domain`, `suffix`
     of the address. Columns of `pages` that have these names are left out."""
-    added = ("text", "declared", "host", "domain", "suffix")
-    common.ship_package(pages.sparkSession)
+    return _page_rows(pages, url, markup, [c for c in pages.columns if c not in PAGE_PARTS], [
+        T.StructField("text", T.StringType()), T.StructField("declared", T.StringType())], lambda markup: visible(markup))
+
+
+def _page_rows(pages: DataFrame, url: str, markup: str, kept: Sequence[str], added: Sequence[T.StructField],
+               function) -> DataFrame:
+    """The kept columns, what `function` makes of the markup, and the parts of the address."""
+    rows = pages.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)),
+                        *_address_parts(F.col(f"`{url}`")), F.col(f"`{markup}`").cast("string").alias("_markup"))
+    schema = T.StructType([*rows.drop("_markup").schema.fields, *added])
+    kinds = [to_arrow_type(field.dataType) for field in added]
 
-    @F.pandas_udf("text string, declared string")
-    def parts(pages: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([visible(x) for x in pages], columns=["text", "declared"])
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.byte_sized(batches, "_markup"):
+            found = zip(*map(function, batch.column("_markup").to_pylist()))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], *(pa.array(list(values), kind) for values, kind in zip(found, kinds))],
+                names=schema.names)
 
-    address = F.col(f"`{url}`")
+    found = common.map_batches(rows, of_batches, schema)
+    return found.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)), *schema.names[len(kept):])
+
+
+def _address_parts(address: Column) -> list[Column]:
     host = F.lower(F.regexp_extract(address, r"^[^:/?#]*://([^/?#]*)", 1))
     host = F.regexp_replace(host, r"^[^@]*@|:\d*$|\.$", "")
     labels = F.split(host, r"\.")
-    kept = pages.select(*(F.col(f"`{c}`") for c in pages.columns if c not in added),
-                        parts(F.col(f"`{markup}`")).alias("_parts"), F.coalesce(host, F.lit("")).alias("host"),
-                        F.coalesce(F.element_at(labels, -1), F.lit("")).alias("suffix"),
-                        F.coalesce(F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2)),
-                                   F.lit("")).alias("domain"))
-    return kept.select("*", F.col("_parts.text").alias("text"),
-                       F.col("_parts.declared").alias("declared")).drop("_parts")
+    domain = F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2))
+    return [F.coalesce(host, F.lit("")).alias("host"),
+            F.coalesce(F.element_at(labels, -1), F.lit("")).alias("suffix"),
+            F.coalesce(domain, F.lit("")).alias("domain")]
 
 
 def visible(markup: str | None) -> tuple[str, str | None]:
@@ -216,7 +252,20 @@ def visible(markup: str | None) -> tuple[str, str | None]:
 
 
 def identify_pages(pages: DataFrame, model: TextModel) -> DataFrame:
-    return identify(page_parts(pages), model, "text", "declared", ["suffix", "domain", "host"])
+    """One row per page: its columns except the markup, the parts of its address, and its
+    language. As `page_parts` and `identify`, without keeping the text."""
+    kept = [c for c in pages.columns if c not in ("html", "declared", "host", "domain", "suffix", *ADDED)]
+    added = [T.StructField("declared", T.StringType()), T.StructField("_logs", T.ArrayType(T.DoubleType()))]
+
+    def evidence(markup: str | None) -> tuple:
+        text, declared = visible(markup)
+        return declared, model.evidence(text)
+
+    levels = ["suffix", "domain", "host"]
+    rows = lambda columns: _page_rows(pages, "url", "html", columns, added, evidence)
+    carried = {c: c for c in (*kept, "declared", *levels)}
+    return _decided(_keyed(rows([]), "declared", levels), _keyed(rows(kept), "declared", levels, carried),
+                    model, len(levels))
 
 
 def accepted(docs: DataFrame, text: str = "text", declared: str = "lang",
@@ -224,7 +273,7 @@ def accepted(docs: DataFrame, text: str = "text", declared: str = "lang",
     """The rows of `docs` whose language is known, all columns, with the label column as the
     declaration and the source in the place of the host."""
     model = fit(docs, text, declared)
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"), *(
-        F.col(f"`{c}`").alias(name) for name, c in (("text", text), ("declared", declared), ("source", source))))
-    return identify(rows, model, "text", "declared", ["source"]).where(
-        F.col("language") != UNKNOWN).select("_doc.*")
+    rows = docs.select(*(F.col(f"`{c}`") for c in docs.columns), F.struct(
+        *(F.col(f"`{c}`") for c in docs.columns if c in ADDED), F.lit(0)).alias("_clashing"))
+    found = identify(rows, model, text, declared, [source]).where(F.col("language") != UNKNOWN)
+    return found.select(*(F.col(f"_clashing.{c}" if c in ADDED else f"`{c}`").alias(c) for c in docs.columns))

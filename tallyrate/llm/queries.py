@@ -31,7 +31,8 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.fit(table(spark, sf_dir, "documents"))
-    return language_id.identify_pages(table(spark, sf_dir, "pages"), model).select(
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return language_id.identify_pages(pages, model).select(
         "page_id", "declared", "host", "text_language", "language",
         F.round("probability", 6).alias("probability"))
 
