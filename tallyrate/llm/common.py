@@ -225,14 +225,20 @@ def _starts(table: pa.Table, keys: list[str]) -> np.ndarray:
 def keep_rows(docs: DataFrame, id_column: str, marked: DataFrame, keys_of) -> DataFrame:
     """The rows of `docs` that `marked` (_id, _key, _kept; one row per document) keeps.
 
-    Ids that one row has are matched by id alone. For ids of several rows and for null ids
-    `keys_of` computes each row's key again, and one row of each kept (id, key) stays.
+    Ids that one row has are decided by id alone, and only rows whose id may be among those not
+    simply kept are shuffled. For ids of several rows and for null ids `keys_of` computes each
+    row's key again, and one row of each kept (id, key) stays.
     """
-    ids = written_table(marked.groupBy("_id").agg(
-        F.count(F.lit(1)).alias("_n"), F.max("_kept").alias("_any")).where("_any"), "kept-ids")
+    ids = marked.groupBy("_id").agg(F.count(F.lit(1)).alias("_n"), F.max("_kept").alias("_any"))
     alone = (F.col("_n") == 1) & F.col("_id").isNotNull()
-    single = docs.join(ids.where(alone), F.col(id_column) == F.col("_id"), "left_semi")
-    repeated = ids.where(~alone)
+    others = written_table(ids.where(~alone | ~F.col("_any")), "other-ids")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"),
+                       F.col(f"`{id_column}`").alias("_own_id")).where("_own_id is not null")
+    named = others.where("_id is not null").select("_id")
+    known = in_filter(rows, "_own_id", key_filter(named, "_id"))
+    single = known.where("not _maybe").select("_doc").union(
+        known.where("_maybe").join(named, F.col("_own_id") == F.col("_id"), "left_anti").select("_doc")).select("_doc.*")
+    repeated = others.where(~alone & F.col("_any"))
     if repeated.isEmpty():
         return single
     same_id = F.col(id_column).eqNullSafe(F.col("_id"))
