@@ -54,7 +54,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return line_dedup.near_duplicates(table(spark, sf_dir, "documents"), most=None)
 
 
 URL_RULES = (
