@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -25,7 +25,8 @@ from tallyrate.storage import written_table
 
 UNKNOWN = "und"
 
-# Labelled rows that the trigram model is fitted on, at most; the only part that is bounded.
+# Different labelled texts of each language that the trigram model is fitted on, at most; the
+# only part that is bounded.
 FIT_ROWS = 4000
 TRIGRAMS = 1 << 16
 # Weight of a uniform distribution in each language's trigrams.
@@ -69,13 +70,21 @@ class TextModel:
 
 def fit(labelled: DataFrame, text: str = "text", language: str = "lang",
         rows: int = FIT_ROWS) -> TextModel:
-    """Trigram model of at most `rows` labelled rows, drawn by a hash of their text. Rows without
-    text or label do not count; without any labelled row every text is of unknown language."""
+    """Trigram model of at most `rows` different texts of each language, those with the lowest
+    hashes; copies count once and no label is left out. Rows without text or label do not count;
+    without any labelled row every text is of unknown language."""
     known = common.columns_of(labelled, text=text, lang=language).where(
         "text is not null and lang is not null").withColumn("_h", F.xxhash64("lang", "text"))
-    total = known.count()
-    share = min(1.0, 2.0 * rows / max(total, 1))
-    drawn = known.where(F.col("_h") <= int(share * (2**64 - 2**12)) - 2**63).orderBy("_h").limit(rows)
+    hashes = written_table(known.select("lang", "_h").distinct(), "text-hashes")
+    sizes = written_table(hashes.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")), "label-sizes")
+    # About twice as many as needed are ranked, so no language's hashes meet in one place.
+    share = F.least(F.lit(1.0), F.lit(2.0 * rows) / F.col("_n"))
+    low = hashes.join(sizes, "lang").where(
+        (share == 1.0) | (F.col("_h") <= (share * (2.0**64 - 2.0**12) - 2.0**63).cast("long")))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_h"))
+    limits = written_table(low.withColumn("_rank", rank).where(F.col("_rank") <= rows).groupBy("lang").agg(
+        F.max("_h").alias("_limit")), "fit-limits")
+    drawn = known.join(limits, "lang").where("_h <= _limit").groupBy("lang", "_h").agg(F.min("text").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, np.ndarray] = {}

@@ -133,3 +133,12 @@ def test_no_rows_and_no_labels(spark):
 def test_the_fit_is_bounded_and_repeats(labelled):
     first, second = L.fit(labelled, rows=50), L.fit(labelled.repartition(5), rows=50)
     assert first.languages == second.languages and np.array_equal(first.logs, second.logs)
+
+
+def test_copies_count_once_and_every_label_is_fitted(spark, labelled):
+    most = labelled.where("lang <> 'fr'").unionByName(labelled.where("lang = 'fr'").limit(1))
+    low = most.where("lang = 'en'").orderBy(F.xxhash64("lang", "text")).limit(1)
+    copies = most.unionByName(low.withColumn("doc_id", F.explode(F.sequence(F.lit(0), F.lit(999)))))
+    first, second = L.fit(most, rows=30), L.fit(copies, rows=30)
+    assert second.languages == ("de", "en", "fr")
+    assert first.languages == second.languages and np.array_equal(first.logs, second.logs)
