@@ -19,10 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyrate.llm import common
+from tallyrate.llm.url_terms import SOFT, STRICT
 
-STRICT = ("porn", "xxx", "hentai", "escort", "warez", "keygen", "malware", "phishing")
-SOFT = ("adult", "nude", "sexy", "casino", "poker", "betting", "jackpot", "viagra", "pills",
-        "torrent", "crack", "serial", "cheap", "bonus", "loan")
 SOFT_LIMIT = 2
 
 ALLOW, BLOCK = "allow", "block"

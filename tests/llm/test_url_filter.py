@@ -47,3 +47,16 @@ def test_no_pages(spark):
 def test_overlapping_terms():
     assert url_filter.term_counts("a-b-ab", ("ab",), ("a", "b")) == (1, 2)
     assert url_filter.term_counts("sab", ("ab",), ("s",)) == (0, 0)
+
+
+def test_planted_hosts_are_rejected_by_the_vocabulary(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    planted = re.compile(r"(^|\.)(casino-win|free-bets|ads-track|spam-farm|cheap-pills|adult-x)\.")
+    by_name, others = {}, set()
+    for r in url_filter.judge(pages, []).collect():
+        found = planted.search(r.host)
+        by_name.setdefault(found[2], set()).add(r.verdict) if found else others.add(r.verdict)
+    assert others == {"allow"}
+    # One soft term, "adult", is all that the last one has; there is no term for its "x".
+    assert by_name.pop("adult-x") == {"allow"}
+    assert len(by_name) == 5 and all(verdicts == {"block"} for verdicts in by_name.values()), by_name
