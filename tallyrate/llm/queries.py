@@ -12,12 +12,14 @@ from tallyrate.llm import (
     language_id,
     line_dedup,
     mixing,
+    quality_rules,
     simhash,
     suffix_dedup,
     token_counts,
     tokens,
     url_filter,
 )
+from tallyrate.storage import written_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,6 +92,13 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = written_table(quality_rules.ledger(table(spark, sf_dir, "documents")), "quality-ledger")
+    return quality_rules.verdicts(entries, quality_rules.PROSE).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~quality_rules.passes(quality_rules.BASE)).alias("base_failed"), "kept", "failures")
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_language_id": op2_language_id,
@@ -101,6 +110,7 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_quality_rules": op11_quality_rules,
 }
 
 def _url_sql() -> str:
@@ -130,7 +140,42 @@ def _url_sql() -> str:
         from counted"""
 
 
+def _quality_sql() -> str:
+    bits = " + ".join(f"case when {rule.broken} then {1 << i} else 0 end"
+                      for i, rule in enumerate(quality_rules.RULES))
+    return rf"""
+        with cut as (
+            select row_number() over () as r, doc_id, coalesce(text, '') as text,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words,
+                   list_filter(string_split(coalesce(text, ''), chr(10)),
+                               lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+            from documents),
+        places as (
+            select r, words, unnest(range(1, len(words) - 3)) as p from cut),
+        repeated as (
+            select r, p from (
+                select r, p, count(*) over (partition by r, words[p:p + 4]) as n from places) where n > 1),
+        covered as (
+            select r, count(distinct place) as n from (
+                select r, unnest(range(p, p + 5)) as place from repeated) group by r),
+        measured as (
+            select doc_id, len(words)::bigint as n_words, length(array_to_string(words, ''))::bigint as word_chars,
+                   len(regexp_extract_all(text, '[#*$%&|<>]'))::bigint as n_symbols,
+                   (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
+                   coalesce(n, 0)::bigint as n_repeat_words, len(lines) as n_lines,
+                   len(regexp_extract_all(text, '[A-Z]')) as n_capitals,
+                   len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*\x{{2022}}]'))) as n_bullets,
+                   len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|\x{{2026}})[\x20\x09-\x0D]*$'))) as n_ellipses,
+                   len(list_filter(words, lambda x: regexp_matches(x, '\p{{L}}'))) as n_letter_words
+            from cut left join covered using (r)),
+        ledger as (select *, ({bits})::bigint as failures from measured)
+        select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+               failures & {quality_rules.BASE.mask} <> 0 as base_failed,
+               failures & {quality_rules.PROSE.mask} = 0 as kept, failures from ledger"""
+
+
 ORACLES = {
+    "op11_quality_rules": _quality_sql(),
     "op6_url_filter": _url_sql(),
     "op1_mix_sources": r"""
         with sized as (
