@@ -10,11 +10,13 @@ from tallyrate.llm import (
     embedding_dedup,
     exact_dedup,
     language_id,
+    lexical_search,
     line_dedup,
     mixing,
     quality_rules,
     simhash,
     suffix_dedup,
+    token_alignment,
     token_counts,
     tokens,
     url_filter,
@@ -99,6 +101,15 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~quality_rules.passes(quality_rules.BASE)).alias("base_failed"), "kept", "failures")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"), tokens.public_path("byte_bpe_50k.json"),
+                                 tokens.public_path("piece_bpe_32k.model"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_language_id": op2_language_id,
@@ -111,6 +122,8 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "op11_quality_rules": op11_quality_rules,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 def _url_sql() -> str:
@@ -176,6 +189,34 @@ def _quality_sql() -> str:
 
 ORACLES = {
     "op11_quality_rules": _quality_sql(),
+    "op13_lexical_search": r"""
+        with cut as (
+            select doc_id, unnest(regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from documents),
+        asked as (
+            select item_id, unnest(regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from benchmark),
+        totals as (select count(distinct doc_id)::bigint as n_docs, count(*)::bigint as n_terms from cut),
+        lengths as (
+            select doc_id, 25 + (75 * count(*)::bigint * n_docs) // n_terms as m
+            from cut, totals group by doc_id, n_docs, n_terms),
+        postings as (select doc_id, term, count(*)::bigint as tf from cut group by all),
+        weights as (
+            select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)))::bigint as w
+            from postings, totals group by term, n_docs),
+        questions as (select item_id, term, count(*)::bigint as times from asked group by all),
+        scores as (
+            select item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+            from questions join weights using (term) join postings using (term) join lengths using (doc_id)
+            group by item_id, doc_id),
+        ranked as (
+            select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::integer as rank,
+                   doc_id, score from scores where score > 0)
+        select * from ranked where rank <= 10""",
     "op6_url_filter": _url_sql(),
     "op1_mix_sources": r"""
         with sized as (

@@ -41,6 +41,10 @@ def pieces(text: str) -> list[str]:
     return out
 
 
+def starts_loose(piece: str) -> bool:
+    return _LOOSE.match(piece) is not None
+
+
 @lru_cache(maxsize=4)
 def load(path: str):
     """A tokenizer with truncation and padding off, on one thread."""

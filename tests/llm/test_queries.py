@@ -28,5 +28,5 @@ def test_query_without_sql_has_rows(spark, name):
 
 
 def test_all_are_registered():
-    assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 12)}
+    assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
