@@ -16,7 +16,7 @@ from tallyrate.catalog.attempt_queries import cells
 from tallyrate.catalog.oracles import CELL as CELL_SQL
 from tallyrate.catalog.oracles import PCT2, _attempts, _bucket, _cells
 from tallyrate.functions import scalars as S
-from tallyrate.operators import evaluate, models, zones
+from tallyrate.operators import evaluate, models, trees, zones
 from tallyrate.operators.cells import CELL, FLAG
 from tallyrate.plans import learned_zones, scoring, training
 from tallyrate.storage import fixed_order_table, written_table
@@ -69,6 +69,44 @@ def held_out_predictions(spark, sf_dir):
     return _with_label_range(predicted, rates).select(*CELL, "shots", "total", "fg", "in_range")
 
 
+def _compiled(spark, sf_dir, regressor):
+    """Held-out cells, and whether the model as one SQL expression predicts what the model does."""
+    rates = written_table(M._zone_rates(spark, sf_dir), "rates")
+    model, predicted = training.train_zone_model(rates, regressor)
+    both = trees.with_prediction(predicted, model, "compiled")
+    return both.select(*CELL, "shots", "total", "fg",
+                       (F.abs(F.col("compiled") - F.col("prediction")) <= 1e-9).alias("same_prediction"))
+
+
+COMPILED_SQL = f"{HELD_OUT} select {CELL_SQL}, shots, total, {PCT2.format('shots', 'total')} as fg, true as same_prediction from counted"
+
+
+@query(COMPILED_SQL)
+def forest_predictions_sql(spark, sf_dir):
+    return _compiled(spark, sf_dir, models.forest())
+
+
+@query(COMPILED_SQL)
+def boosted_predictions_sql(spark, sf_dir):
+    return _compiled(spark, sf_dir, models.boosted())
+
+
+@query(f"""{HELD_OUT.replace('where not is_train', 'where is_train')}
+    select count(*) as n, round(sum({PCT2.format('shots', 'total')}), 4) as labels, true as leaves_are_means from counted""")
+def boosted_leaf_means(spark, sf_dir):
+    """The first tree of a boosted fit splits the training cells and holds their means: numbers and label
+    sums of its leaves, and whether cells routed by the expression agree with each leaf."""
+    rates = written_table(M._zone_rates(spark, sf_dir), "rates")
+    model, _ = training.train_zone_model(rates, models.boosted(iterations=1))
+    leaves = trees.nodes(models.regressor_of(model)).where("feature is null").select(F.col("node").alias("leaf"), "n", "value")
+    routed = trees.with_leaf(rates.where("is_train"), model, 0).groupBy("leaf").agg(
+        F.count(F.lit(1)).alias("cells"), F.avg("fg").alias("mean"))
+    agrees = (F.col("n") == F.col("cells")) & (F.abs(F.col("value") - F.col("mean")) <= 1e-9)
+    return leaves.join(routed, "leaf", "full").agg(
+        F.sum("n").alias("n"), F.round(F.sum(F.col("n") * F.col("value")), 4).alias("labels"),
+        F.min(F.coalesce(agrees, F.lit(False))).alias("leaves_are_means"))
+
+
 @query(f"""{HELD_OUT} select m as model, (select count(*) from counted) as n, true as finite, true as same
            from (values ('forest'), ('small_forest'), ('boosted')) as t(m)""")
 def evaluated_models(spark, sf_dir):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -61,10 +62,12 @@ def scorable(expected: Expected) -> Column:
     return F.coalesce(known, F.lit(False))
 
 
-def score(model: PipelineModel, requests: DataFrame) -> DataFrame:
+def score(model: PipelineModel, requests: DataFrame,
+          predict: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """The requests with `prediction` and the same as percent text. A request
     that cannot be scored keeps its row and gets neither. The pipeline itself says whether it
-    takes `schemas.REQUESTS` or `schemas.RAW_REQUESTS`."""
+    takes `schemas.REQUESTS` or `schemas.RAW_REQUESTS`. `predict` stands in for the model's own
+    `transform`, as `trees.with_prediction` does."""
     expected = expected_by(model)
     usable = scorable(expected)
 
@@ -80,7 +83,7 @@ def score(model: PipelineModel, requests: DataFrame) -> DataFrame:
         or_zero(F.col(expected.inputs.y)).alias(expected.inputs.y),
         or_zero(F.col("dist_bin")).alias("dist_bin"),
         or_zero(margin).alias(expected.inputs.margin), or_zero(period).alias("period"))
-    scored = model.transform(prepared).select(
+    scored = (predict or model.transform)(prepared).select(
         "request.*", F.when(F.col("usable"), F.col("prediction")).alias("prediction"))
     return scored.withColumn("percent", F.when(
         F.col("prediction").isNotNull(), S.percent_text(F.col("prediction"))))
