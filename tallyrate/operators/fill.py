@@ -5,31 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyrate.storage import written_table
+from tallyrate.storage import bucket_keys, placed_table
 
 
 def forward_fill(log: DataFrame, value: str, group: str, order: str, default: str = "0") -> DataFrame:
     """Missing values take the last earlier one of their group, or `default`.
 
     Rows are range-partitioned by group and order, so a large group lies in several partitions,
-    one after the other, and each partition is filled by itself. Only the first group of a
-    partition can go on from an earlier one: what it carries over is a table of at most one row
-    per partition, which is broadcast. Null orders come first. Of rows with the same order those
-    with a value come first, by value.
+    one after the other, and each partition is filled by itself. The partitions are written one to a
+    bucket, so the log is exchanged once. Only the first group of a partition can go on from an
+    earlier one, of which it is then the last group: what is carried over comes from two rows a
+    partition and is broadcast. Null orders come first. Of rows with the same order those with a
+    value come first, by value.
     """
+    spark = log.sparkSession
     places = [F.col(group), F.col(order), F.col(value).asc_nulls_last()]
-    ranged = written_table(log.repartitionByRange(*places).withColumn(
-        "_part", F.spark_partition_id()), "ranged-log")
-    so_far = Window.partitionBy(group, "_part").orderBy(order, F.col(value).asc_nulls_last()).rowsBetween(
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = F.array(*(F.lit(key) for key in bucket_keys(spark, partitions)))
+    ranged = placed_table(
+        log.repartitionByRange(partitions, *places).withColumn("_at", F.spark_partition_id()).withColumn("_part", F.get(keys, "_at")),
+        "ranged-log", "_part", [group, order], partitions)
+    so_far = Window.partitionBy("_part", group).orderBy(order, F.col(value).asc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     filled = ranged.withColumn(value, F.last(value, ignorenulls=True).over(so_far))
 
-    last = F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(F.lit(1), order, value)))
-    ends = ranged.groupBy(group, "_part").agg(last.alias("_last"))
-    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(
-        F.col(group).alias("_group"), F.col("_part").alias("_into"),
-        F.last("_last", ignorenulls=True).over(before).alias("_carried")).where("_carried is not null")
+    ends = ranged.groupBy("_part").agg(
+        F.first("_at").alias("_at"), F.min(F.struct(F.col(group).alias("g"))).alias("_first"),
+        F.max(F.struct(F.col(group).alias("g"))).alias("_final"),
+        F.max(F.when(F.col(value).isNotNull(), F.struct(
+            F.col(group).alias("g"), F.col(order).alias("o"), F.col(value).alias("v")))).alias("_held"))
+    given = F.when(F.col("_held.g").eqNullSafe(F.col("_final.g")), F.col("_held.v"))
+    rows = ends.select(F.explode(F.array(
+        F.struct(F.col("_final.g").alias("_group"), "_part", "_at", given.alias("_given"), F.lit(False).alias("_takes")),
+        F.struct(F.col("_first.g").alias("_group"), "_part", "_at", F.lit(None).cast(log.schema[value].dataType).alias("_given"),
+                 F.lit(True).alias("_takes")))).alias("row")).select("row.*")
+    before = Window.partitionBy("_group").orderBy("_at").rangeBetween(Window.unboundedPreceding, -1)
+    carried = rows.withColumn("_carried", F.last("_given", ignorenulls=True).over(before)).where(
+        "_takes and _carried is not null").select("_group", F.col("_part").alias("_into"), "_carried")
     return filled.join(
         F.broadcast(carried), F.col(group).eqNullSafe(F.col("_group")) & (F.col("_part") == F.col("_into")), "left",
     ).withColumn(value, F.coalesce(value, "_carried", F.lit(default))).select(*log.columns)
