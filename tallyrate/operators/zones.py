@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 CLUSTERS = 20
+# The share of the first cost that another centre must save to be worth it.
+LEAST_GAIN = 0.02
 
 
 def zone_centroids(cells: DataFrame) -> DataFrame:
@@ -46,6 +50,41 @@ def fit_zones(points: DataFrame, seed: int, k: int = CLUSTERS) -> KMeansModel:
     return kmeans.fit(location_vectors(points))
 
 
+def cost_of(points: DataFrame, seed: int, k: int) -> float:
+    """Weighted sum of squared distances of the points to the nearest of k fitted centres; a single
+    centre is their mean."""
+    if k == 1:
+        middle = points.agg(*((F.sum(F.col(name) * F.col("weight")) / F.sum("weight")).alias(name) for name in ("loc_x", "loc_y")))
+        x, y = middle.first()
+        square = (F.col("loc_x") - F.lit(x)) ** 2 + (F.col("loc_y") - F.lit(y)) ** 2
+        return points.agg(F.sum(square * F.col("weight"))).first()[0]
+    return float(fit_zones(points, seed, k).summary.trainingCost)
+
+
+def costs_by_k(points: DataFrame, seed: int, ks: Sequence[int]) -> DataFrame:
+    """k, cost: the least cost found with at most k centres, for each k.
+
+    All fits read the one table of weighted locations, which should be stored. A fit may end in a
+    worse place than one with fewer centres; the smaller one is then a solution for k as well, so
+    the cost never rises with k.
+    """
+    found, least = [], float("inf")
+    for k in sorted(set(ks)):
+        least = min(least, cost_of(points, seed, k))
+        found.append((k, least))
+    return points.sparkSession.createDataFrame(found, "k int, cost double")
+
+
+def chosen_k(costs: DataFrame, least_gain: float = LEAST_GAIN) -> int:
+    """The stopping rule: the smallest k whose successor in the table lowers the cost by less
+    than `least_gain` of the cost at the smallest k; the largest k where each step gains more."""
+    ordered = Window.orderBy("k")
+    steps = costs.select("k", (F.col("cost") - F.lead("cost").over(ordered)).alias("gain"),
+                         F.first("cost").over(ordered).alias("whole"))
+    enough = steps.where(F.col("gain").isNull() | (F.col("gain") < least_gain * F.col("whole")))
+    return enough.agg(F.min("k")).first()[0]
+
+
 def centers_table(model: KMeansModel, like: DataFrame) -> DataFrame:
     """The model's k centres as rows, indexed by cluster."""
     rows = [(index, float(x), float(y)) for index, (x, y) in enumerate(model.clusterCenters())]

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyrate import schemas
+from tallyrate.functions import vector_text
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = schemas.ATTEMPTS) -> DataFrame:
@@ -75,11 +77,33 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def write_text(spark: SparkSession, line: str, path: str) -> None:
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def write_rates(rates: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Parquet, which keeps vectors; CSV cannot hold them."""
+    """Parquet, which keeps vectors as they are."""
     rates.write.mode(mode).parquet(path)
 
 
+def vector_columns(df: DataFrame) -> list[str]:
+    return [field.name for field in df.schema if isinstance(field.dataType, VectorUDT)]
+
+
+def write_rates_csv(rates: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Headed CSV, vectors as dense text."""
+    texts = {name: vector_text.dense_text(F.col(f"`{name}`")) for name in vector_columns(rates)}
+    write_csv(rates.withColumns(texts), path, mode)
+
+
+def read_rates_csv(spark: SparkSession, path: str, vectors: Sequence[str] = ("features",)) -> DataFrame:
+    """A rate table from headed CSV, types inferred in a pass of their own. Those of `vectors`
+    that the table has are vectors, written as dense or sparse text; malformed text stops the read."""
+    rows = spark.read.csv(path, header=True, inferSchema=True)
+    present = [name for name in vectors if name in rows.columns]
+    return rows.withColumns({name: vector_text.to_vector(F.col(f"`{name}`").cast("string")) for name in present})
+
+
 def read_rates(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

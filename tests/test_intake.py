@@ -1,0 +1,165 @@
+"""Headers that differ, bad rows set aside, vectors as text."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
+
+from tallyrate import jobs, schemas
+from tallyrate.functions import vector_text
+from tallyrate.sources import by_header, files, quarantine
+from tests.test_events import LOG, MADE_AT
+from tests.test_jobs import keep_session_tables  # noqa: F401
+
+
+@pytest.fixture
+def folder(tmp_path):
+    """CSV files of three headers, with blanks before one of them, and one without any line."""
+    path = tmp_path / "in"
+    path.mkdir()
+    (path / "a b [1].csv").write_text(",loc_x,period\n0,1.5,2\n1,,3\n")
+    (path / "b%20.csv").write_text("period,index,loc_x\n4,2,2.5\n")
+    (path / "c.csv").write_text("﻿index,note,htm\n3,\"x,y\",GSW\n")
+    (path / "d.csv").write_text(",loc_x,period\n4,9,1\n")
+    (path / "e.csv").write_text("")
+    return path
+
+
+def test_files_are_merged_by_name(spark, folder):
+    df = by_header.read_by_name(spark, str(folder))
+    assert df.dtypes == [("index", "int"), ("period", "int"), ("loc_x", "double"), ("htm", "string"), ("note", "string")]
+    assert sorted(tuple(r) for r in df.collect()) == [
+        (0, 2, 1.5, None, None), (1, 3, None, None, None), (2, 4, 2.5, None, None), (3, None, None, "GSW", "x,y"),
+        (4, 1, 9.0, None, None)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 3
+
+
+def test_a_bad_cell_stops_the_merged_read_as_well(spark, folder):
+    (folder / "d.csv").write_text(",loc_x,period\n4,9,one\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+        by_header.read_by_name(spark, str(folder)).collect()
+
+
+def test_a_header_that_names_a_column_twice_is_refused(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("index,loc_x,loc_x\n1,2,3\n")
+    with pytest.raises(ValueError, match="twice"):
+        by_header.read_by_name(spark, str(tmp_path))
+
+
+def test_no_files_give_no_rows(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("\n \n")
+    df = by_header.read_by_name(spark, str(tmp_path))
+    assert df.columns == schemas.ATTEMPTS.names and df.count() == 0
+
+
+def test_bad_rows_of_attempts_are_set_aside(spark, folder):
+    (folder / "d.csv").write_text(",loc_x,period\n4,9,1\n5,x,1\n6,1.0\n7,1,2,3\n8,2,3\n9,NaN,1.5\n")
+    found = quarantine.split_attempts(spark, str(folder))
+    assert sorted(r["index"] for r in found.good.collect()) == [0, 1, 2, 3, 4, 8]
+    assert not [c for c in found.good.columns if c.startswith("_")]
+    bad = sorted((r.reason, r.row) for r in found.bad.collect())
+    assert bad == [("does not have 3 cells", "6,1.0"), ("does not have 3 cells", "7,1,2,3"),
+                   ("loc_x holds x", "5,x,1"), ("period holds 1.5", "9,NaN,1.5")]
+    assert {r.file.rsplit("/", 1)[1] for r in found.bad.collect()} == {"d.csv"}
+    assert sorted((r.reason, r.n) for r in found.counts().collect()) == [
+        ("does not have 3 cells", 2), ("loc_x holds x", 1), ("period holds 1.5", 1)]
+
+
+def test_input_without_bad_rows_and_without_rows(spark, folder, tmp_path):
+    found = quarantine.split_attempts(spark, str(folder))
+    assert found.bad.count() == 0 and found.good.count() == 5
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "x.csv").write_text("")
+    found = quarantine.split_attempts(spark, str(tmp_path / "none"))
+    assert (found.good.count(), found.bad.count()) == (0, 0) and found.good.columns == schemas.ATTEMPTS.names
+
+
+def test_the_input_is_parsed_once(spark, folder):
+    found = quarantine.split_attempts(spark, str(folder))
+    for df in (found.good, found.bad, found.counts()):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "csv" not in plan and "FileScan parquet" in plan
+
+
+def document(headers, rows):
+    return {"resultSets": [{"name": "p", "headers": headers, "rowSet": rows}]}
+
+
+def test_bad_documents_and_cells_are_set_aside(spark, tmp_path):
+    names = ["GAME_ID", "EVENTNUM", "PERIOD"]
+    contents = {
+        "1": json.dumps(document(names, [["001", 1, 1], ["001", "two", 1], ["001", 3, "first"], ["001", None, 2]]), indent=1),
+        "2": json.dumps(document(names, [["002", 1, 1]]))[:50], "3": json.dumps({"resultSets": []}),
+        "4": json.dumps(document(["PERIOD", "GAME_ID"], [[4, "004"]])), "5": json.dumps(document(names, [])), "6": "[1, 2]"}
+    for name, text in contents.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    found = quarantine.split_result_set(spark, str(tmp_path))
+    assert found.good.columns == ["position", *schemas.EVENTS.names]
+    assert sorted((r.GAME_ID, r.EVENTNUM is None, r.PERIOD, r.position) for r in found.good.collect()) == [
+        ("001", False, 1, 0), ("001", True, 2, 3), ("004", True, 4, 0)]
+    bad = sorted((r.file.rsplit("/", 1)[1], r.reason) for r in found.bad.collect())
+    broken = "is not a JSON document of result sets"
+    assert bad[:2] == [("1.json", "EVENTNUM holds two"), ("1.json", "PERIOD holds first")]
+    assert bad[2:4] == [("2.json", broken), ("3.json", "has no result set 0")] and {f for f, _ in bad[4:]} == {"6.json"}
+    assert {r.row for r in found.bad.where("reason = 'EVENTNUM holds two'").collect()} == {'["001","two","1"]'}
+
+
+def test_prepare_keeps_going_past_bad_rows(spark, tmp_path):
+    made = [",".join(map(str, row)) for row in MADE_AT]
+    header = "index,game_id,period,minutes_remaining,seconds_remaining,htm"
+    (tmp_path / "attempts.csv").write_text("\n".join([header, *made, "x,1,1,1,1,O", "1,2"]) + "\n")
+    (tmp_path / "logs").mkdir()
+    for game in ("001", "002"):
+        rows = [list(row) for row in LOG if row[0] == game] + [[game, "bad", *LOG[0][2:]]]
+        (tmp_path / "logs" / f"{game}.json").write_text(json.dumps(document(schemas.EVENTS.names, rows)))
+    arguments = ["prepare", "--attempts", str(tmp_path / "attempts.csv"), "--logs", str(tmp_path / "logs"),
+                 "--subject", "user", "--team", "O", "--out", str(tmp_path / "out")]
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE|holds"):
+        jobs.main(arguments)
+    jobs.main([*arguments, "--bad-rows", str(tmp_path / "bad")])
+    merged = spark.read.csv(str(tmp_path / "out" / "attempts"), header=True)
+    assert merged.count() == 11
+    bad = spark.read.csv(str(tmp_path / "bad" / "attempts"), header=True)
+    assert sorted((r.reason, r.row) for r in bad.collect()) == [("does not have 6 cells", "1,2"), ("index holds x", "x,1,1,1,1,O")]
+    assert spark.read.csv(str(tmp_path / "bad" / "logs"), header=True).where("reason = 'EVENTNUM holds bad'").count() == 2
+
+
+TEXTS = {"[1.0,2.5]": [1.0, 2.5], " [ 1 , -2e3 ] ": [1.0, -2000.0], "[]": [], "[0.1]": [0.1], "(4,[],[])": [0.0] * 4,
+         "(4,[0,3],[1.0,2.0])": [1.0, 0.0, 0.0, 2.0], "( 3 , [1] , [7] )": [0.0, 7.0, 0.0], "(0,[],[])": [], "[NaN]": None}
+
+
+def test_vector_text_is_read(spark):
+    rows = spark.createDataFrame([(t,) for t in TEXTS] + [(None,)], "t string")
+    found = {r.t: r.v for r in rows.select("t", vector_text.entries(F.col("t")).alias("v")).collect()}
+    assert found.pop(None) is None and str(found.pop("[NaN]")) == "[nan]"
+    assert found == {t: v for t, v in TEXTS.items() if v is not None}
+    vectors = rows.select("t", vector_text.to_vector(F.col("t")).alias("v")).collect()
+    assert {r.t: r.v if r.v is None else list(r.v.toArray()) for r in vectors if r.t != "[NaN]"} == {**found, None: None}
+    plan = rows.select(vector_text.entries(F.col("t")))._jdf.queryExecution().executedPlan().toString()
+    assert "UDF" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("text", ["", "1,2", "[1,2", "[1,,2]", "[1,x]", "(2,[0],[1,2])", "(2,[2],[1])", "(3,[1,0],[1,2])",
+                                  "(3,[1,1],[1,2])", "(3,[-1],[1])", "(x,[0],[1])", "[[1]]", "(3,[0],[1.0]) x", "[1,]"])
+def test_malformed_vector_text_stops(spark, text):
+    with pytest.raises(Exception, match="not a vector"):
+        spark.createDataFrame([(text,)], "t string").select(vector_text.entries(F.col("t"))).collect()
+
+
+def test_rate_tables_through_csv(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 0.5, [1.0, 0.0, 2.5]), ("b", None, [0.0, 0.0, 0.0]), ("c", 1.0, None)],
+                                 "zone string, fg double, f array<double>")
+    rates = rows.select("zone", "fg", F.when(F.col("f").isNotNull(), array_to_vector(
+        F.coalesce("f", F.array(F.lit(0.0))))).alias("features"))
+    files.write_rates_csv(rates, str(tmp_path / "out"))
+    again = files.read_rates_csv(spark, str(tmp_path / "out"))
+    assert files.vector_columns(again) == ["features"]
+    listed = lambda df: sorted(map(str, df.where("features is not null").select(
+        "zone", "fg", vector_to_array("features")).collect()))
+    assert listed(again) == listed(rates) and again.where("features is null").count() == 1
+    sparse = rates.where("features is not null").select("zone", vector_text.sparse_text(F.col("features")).alias("features"))
+    assert sorted(r.features for r in sparse.collect()) == ["(3,[0,2],[1.0,2.5])", "(3,[],[])"]

@@ -6,9 +6,10 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tallyrate.operators import evaluate, features, models
+from tallyrate.operators import evaluate, features, models, zones
 from tallyrate.plans import learned_zones, scoring, training
 from tallyrate.sources import files
+from tallyrate.storage import fixed_order_table
 from tests.test_rates import attempts
 
 
@@ -148,3 +149,17 @@ def test_cluster_rates_count_every_complete_attempt(spark):
     assert table.select("x_center", "y_center").distinct().count() == 5
     made = learned_zones.cluster_rates(rows, seed=1, k=5, outcomes="made")
     assert made.agg(F.min("total")).first()[0] == 2
+
+
+def test_costs_fall_with_k_and_the_rule_finds_the_groups(spark):
+    """Four tight groups: a fifth centre saves next to nothing."""
+    centres = [(0, 0), (40, 0), (0, 40), (40, 40)]
+    rows = [(float(x + dx), float(y + dy), 10) for x, y in centres for dx in range(3) for dy in range(3)]
+    points = fixed_order_table(spark.createDataFrame(rows, "loc_x double, loc_y double, weight long"), "points")
+    costs = zones.costs_by_k(points, 3, [7, 1, 2, 3, 4, 5, 6, 4])
+    found = {r.k: r.cost for r in costs.collect()}
+    assert list(found) == [1, 2, 3, 4, 5, 6, 7]
+    assert all(found[k] >= found[k + 1] for k in range(1, 7))
+    assert found[1] == pytest.approx(sum(w * ((x - 21) ** 2 + (y - 21) ** 2) for x, y, w in rows))
+    assert found[4] == pytest.approx(4 * 10 * 12) and zones.chosen_k(costs) == 4
+    assert zones.chosen_k(costs, 0.0) == 7 and zones.chosen_k(costs.where("k = 2")) == 2
