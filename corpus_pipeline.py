@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrate.llm import bpe, exact_dedup, language_id, mixing, simhash, tokens
-from tallyrate.storage import written_table
+from tallyrate.storage import scope
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -58,7 +58,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each stage's own tables go when its output is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written_table(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scope(spark) as tables:
+            docs = tables.keep(stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
