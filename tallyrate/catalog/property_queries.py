@@ -107,6 +107,21 @@ def boosted_leaf_means(spark, sf_dir):
         F.min(F.coalesce(agrees, F.lit(False))).alias("leaves_are_means"))
 
 
+@query("select unnest(range(0, 20))::integer as tree, true as two_children, true as rows_kept, true as means_kept")
+def forest_node_rules(spark, sf_dir):
+    """Of each tree of a forest: an inner node has two children, whose rows and label sums are its own."""
+    model, _ = training.train_zone_model(M._zone_rates(spark, sf_dir), models.forest())
+    table = written_table(trees.nodes(models.regressor_of(model)), "nodes")
+    child = table.select("tree", F.col("node").alias("child"), F.col("n").alias("child_n"), (F.col("n") * F.col("value")).alias("child_sum"))
+    inner = table.where("feature is not null").select(
+        "tree", "node", "n", "value", F.explode(F.array("left", "right")).alias("child"))
+    sums = inner.join(child, ["tree", "child"]).groupBy("tree", "node", "n", "value").agg(
+        F.count(F.lit(1)).alias("children"), F.sum("child_n").alias("rows"), F.sum("child_sum").alias("sum"))
+    return sums.groupBy("tree").agg(
+        F.min(F.col("children") == 2).alias("two_children"), F.min(F.col("rows") == F.col("n")).alias("rows_kept"),
+        F.min(F.abs(F.col("sum") - F.col("n") * F.col("value")) <= 1e-6 * (1 + F.col("n"))).alias("means_kept"))
+
+
 @query(f"""{HELD_OUT} select m as model, (select count(*) from counted) as n, true as finite, true as same
            from (values ('forest'), ('small_forest'), ('boosted')) as t(m)""")
 def evaluated_models(spark, sf_dir):

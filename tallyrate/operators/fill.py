@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyrate.storage import bucket_keys, placed_table
+from tallyrate.storage import bucket_keys, placed_table, shuffle_partitions
 
 
 def forward_fill(log: DataFrame, value: str, group: str, order: str, default: str = "0") -> DataFrame:
@@ -20,8 +20,8 @@ def forward_fill(log: DataFrame, value: str, group: str, order: str, default: st
     """
     spark = log.sparkSession
     places = [F.col(group), F.col(order), F.col(value).asc_nulls_last()]
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = F.array(*(F.lit(key) for key in bucket_keys(spark, partitions)))
+    partitions = shuffle_partitions(spark)
+    keys = F.split(F.lit(",".join(map(str, bucket_keys(spark, partitions)))), ",").cast("array<int>")
     ranged = placed_table(
         log.repartitionByRange(partitions, *places).withColumn("_at", F.spark_partition_id()).withColumn("_part", F.get(keys, "_at")),
         "ranged-log", "_part", [group, order], partitions)

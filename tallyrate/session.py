@@ -15,6 +15,11 @@ DEFAULTS = {
 }
 
 
+# Initial shuffle partitions for each core of a cluster; adaptive execution merges what is small.
+PARTITIONS_A_CORE = 4
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
 def build_session(app: str = "tallyrate", master: str | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -22,4 +27,9 @@ def build_session(app: str = "tallyrate", master: str | None = None,
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **(conf or {})}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    context = spark.sparkContext
+    if not context.master.startswith("local") and not spark.conf.get(INITIAL, None):
+        usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set(INITIAL, str(max(usual, PARTITIONS_A_CORE * context.defaultParallelism)))
+    return spark

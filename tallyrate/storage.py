@@ -156,17 +156,26 @@ def placed_table(df: DataFrame, name: str, by: str, order: Sequence[str], bucket
 _tables: dict[str, dict[str, str]] = {}
 
 
-# Partitions that a seeded fit reads. The draws of a fit depend on this number, so it does not
-# follow the machine; raise it for rate tables of more than some ten million cells.
-FIT_PARTITIONS = 16
+# Partitions that a seeded fit reads at least, and rows for which it gets another one. The draws of
+# a fit depend on the partitions, so their number follows the rows and not the machine.
+FIT_PARTITIONS, FIT_ROWS = 16, 500_000
 
 
-def fixed_order_table(df: DataFrame, name: str, partitions: int = FIT_PARTITIONS) -> DataFrame:
+def fixed_order_table(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
     """A written table whose rows are read in the same partition and order on any cluster.
     Seeded fits draw rows by place, so they repeat only on such a table. The placing follows
     the reading, which packs files by size and cores."""
     keys = [field.name for field in df.schema if isinstance(field.dataType, T.AtomicType)]
-    return written_table(df, name).repartition(partitions, *keys).sortWithinPartitions(*keys)
+    table = written_table(df, name)
+    if partitions is None:
+        partitions = max(FIT_PARTITIONS, -(-table.count() // FIT_ROWS))
+    return table.repartition(partitions, *keys).sortWithinPartitions(*keys)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """How many partitions a shuffle starts with."""
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    return int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or usual)
 
 
 def drop_written_tables(spark: SparkSession) -> None:
