@@ -3,8 +3,9 @@
 Every row has a hash of its id. A source whose target is between k and k+1 times its size gives
 k copies of all its rows and one more of the rows whose hash lies below a threshold. Thresholds
 come from histograms: tokens are summed by source and leading hash bits, and only the bucket in
-which the budget runs out is looked at again, by its next bits. Nothing is sorted; smaller
-budgets take subsets of what larger ones take.
+which the budget runs out is looked at again, by its next bits. Nothing is sorted but the rows of
+one hash at the threshold, which are told apart by their text and then by their place in the input;
+smaller budgets take subsets of what larger ones take.
 """
 
 from __future__ import annotations
@@ -35,11 +36,17 @@ def row_hash(id_column: Column, text: Column) -> Column:
     return F.conv(F.substring(F.md5(key), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
+def tie_hash(text: Column) -> Column:
+    """60 bits of the MD5 of the text, to order rows of one hash."""
+    return F.conv(F.substring(F.md5(F.coalesce(text.cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
+
+
 def sized_rows(docs: DataFrame, id_column: str = "doc_id", source: str = "source",
                text: str = "text") -> DataFrame:
     rows = common.columns_of(docs, id=id_column, source=source, text=text)
     return rows.select("id", "source", word_count(F.col("text")).alias("size"),
-                       row_hash(F.col("id"), F.col("text")).alias("hash"))
+                       row_hash(F.col("id"), F.col("text")).alias("hash"), tie_hash(F.col("text")).alias("tie"),
+                       F.monotonically_increasing_id().alias("place"))
 
 
 def targets(sized: DataFrame, weights: Sequence[int] = WEIGHTS,
@@ -69,8 +76,9 @@ def targets(sized: DataFrame, weights: Sequence[int] = WEIGHTS,
 
 
 def thresholds(sized: DataFrame, wanted: DataFrame) -> DataFrame:
-    """source, source_size, target, whole, limit: `whole` copies of every row and one more of
-    rows with a hash below `limit`, which brings the words taken nearest to the target."""
+    """source, source_size, target, whole, limit, rest, before: `whole` copies of every row and one
+    more of rows with a hash below `limit`, which are `before` of the `rest` words still wanted.
+    Rows whose hash is `limit` have more words than are left."""
     share = F.col("target") / F.nullif(F.col("source_size"), F.lit(0))
     plan = wanted.withColumn("whole", F.coalesce(F.floor(share), F.lit(0))).withColumn(
         "rest", F.col("target") - F.col("whole") * F.col("source_size"))
@@ -92,10 +100,9 @@ def thresholds(sized: DataFrame, wanted: DataFrame) -> DataFrame:
                      "bucket").alias("x")).select(
             "source", "rest", F.col("x.bucket").alias("prefix"), F.col("x.before").alias("before"),
             F.col("x.upto").alias("upto")), "boundary")
-    limit = F.col("prefix") + (F.col("upto") - F.col("rest") < F.col("rest") - F.col("before")).cast("long")
-    ends = edge.select(F.col("source").alias("_source"), limit.alias("limit"))
+    ends = edge.select(F.col("source").alias("_source"), F.col("prefix").alias("limit"), "before")
     return plan.join(ends, F.col("source").eqNullSafe(F.col("_source")), "left").select(
-        "source", "source_size", "target", "whole", F.coalesce("limit", F.lit(0)).alias("limit"))
+        "source", "source_size", "target", "whole", F.coalesce("limit", F.lit(0)).alias("limit"), "rest", "before")
 
 
 def _with(rows: DataFrame, edge: DataFrame, prefix: Column) -> DataFrame:
@@ -106,11 +113,24 @@ def _with(rows: DataFrame, edge: DataFrame, prefix: Column) -> DataFrame:
     ).select("source", "size", "hash", "rest", "before")
 
 
-def _planned(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """`rows` (source, hash, ...) with their source's plan and the copies the mix takes."""
+def _planned(rows: DataFrame, plan: DataFrame, size: Column) -> DataFrame:
+    """`rows` (source, hash, tie, place, ...) with their source's plan and the copies the mix
+    takes. Of the rows at the threshold, in order, each is taken that fits into what is left, and
+    the next one where that comes nearer to the target."""
     known = plan.withColumnRenamed("source", "_source")
-    return rows.join(known, F.col("source").eqNullSafe(F.col("_source"))).withColumn(
-        "copies", F.col("whole") + (F.col("hash") < F.col("limit")).cast("long"))
+    found = rows.join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    at_limit = F.col("before").isNotNull() & (F.col("hash") == F.col("limit"))
+    apart = found.where(~at_limit).withColumn("copies", F.col("whole") + (F.col("hash") < F.col("limit")).cast("long"))
+    edge = written_table(found.where(at_limit).withColumn("_size", size), "threshold-rows")
+    summed = written_table(common.running_sums(
+        edge, [F.col("source").asc_nulls_last(), F.col("tie"), F.col("place")], _sum="_size"), "threshold-sums")
+    first = summed.groupBy("source").agg(F.min("_sum").alias("_first")).withColumnRenamed("source", "_source")
+    had = F.col("before") + F.col("_sum") - F.col("_first")
+    over = had + F.col("_size") - F.col("rest")
+    taken = (over <= 0) | (over < F.col("rest") - had)
+    edge = summed.join(first, F.col("source").eqNullSafe(F.col("_source"))).withColumn(
+        "copies", F.col("whole") + taken.cast("long"))
+    return apart.unionByName(edge.select(*apart.columns))
 
 
 def mix(docs: DataFrame, id_column: str = "doc_id", source: str = "source", text: str = "text",
@@ -118,12 +138,14 @@ def mix(docs: DataFrame, id_column: str = "doc_id", source: str = "source", text
     """One row per document: id, source, size, source_size, target, copies, taken.
 
     A null text has size 0; null is a source of its own; sources without words get target 0.
-    Rows with the same id have the same hash and are taken alike; rows without an id are told
-    apart by their text. Other columns of `docs` are not read.
+    Rows with the same id have the same hash, rows without an id are told apart by their text.
+    Where such rows lie at the threshold, as many of them are taken as come nearest to the target,
+    by text and then by place; equal rows are equal in the result but for that. Texts of any length
+    are counted whole. Other columns of `docs` are not read.
     """
     sized = written_table(sized_rows(docs, id_column, source, text), "sized")
     plan = thresholds(sized, targets(sized, weights, max_repeats))
-    return _planned(sized, plan).select(
+    return _planned(sized, plan, F.col("size")).select(
         F.col("id").alias(id_column), "source", "size", "source_size", "target", "copies",
         (F.col("size") * F.col("copies")).alias("taken"))
 
@@ -136,6 +158,7 @@ def mixed_rows(docs: DataFrame, id_column: str = "doc_id", source: str = "source
     plan = written_table(thresholds(sized, targets(sized, weights, max_repeats)), "mix-limits")
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"),
                        F.col(f"`{source}`").alias("source"),
-                       row_hash(F.col(f"`{id_column}`"), F.col(f"`{text}`")).alias("hash"))
-    return _planned(rows, plan).select(
+                       row_hash(F.col(f"`{id_column}`"), F.col(f"`{text}`")).alias("hash"),
+                       tie_hash(F.col(f"`{text}`")).alias("tie"), F.monotonically_increasing_id().alias("place"))
+    return _planned(rows, plan, word_count(F.col("_row").getField(text))).select(
         "_row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("_row.*")

@@ -221,7 +221,8 @@ ORACLES = {
     "op1_mix_sources": r"""
         with sized as (
             select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size,
-                   ('0x' || substr(md5(coalesce(doc_id::varchar, text, '')), 1, 9))::bigint as hash
+                   ('0x' || substr(md5(coalesce(doc_id::varchar, text, '')), 1, 9))::bigint as hash,
+                   ('0x' || substr(md5(coalesce(text, '')), 1, 15))::bigint as tie, row_number() over () as place
             from documents),
         sources as (
             select source, sum(size)::bigint as source_size,
@@ -244,11 +245,11 @@ ORACLES = {
             from targets),
         upto as (
             select s.doc_id, s.size, s.hash, b.source_size, b.target, b.whole, b.rest,
-                   sum(s.size) over (partition by s.source order by s.hash) as upto,
-                   sum(s.size) over (partition by s.source, s.hash) as here
+                   sum(s.size) over (partition by s.source order by s.hash, s.tie, s.place
+                                     rows between unbounded preceding and current row) as upto
             from sized s join budgets b on s.source is not distinct from b.source)
         select doc_id, size, source_size, target,
-               (size * (whole + case when upto <= rest or upto - rest < rest - (upto - here)
+               (size * (whole + case when upto <= rest or upto - rest < rest - (upto - size)
                                      then 1 else 0 end))::bigint as taken
         from upto""",
     "op8_embedding_near_dedup": """

@@ -110,3 +110,18 @@ def test_native_plan(spark):
     docs = documents(spark, ["one two", "three"])
     for frame in (mixing.mix(docs), mixing.mixed_rows(docs), mixing.sized_rows(docs)):
         assert "Python" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("key", [None, 7])
+def test_a_group_of_one_key_is_split_at_the_threshold(spark, key):
+    """A third of the hot source has one key and one text; other groups have one key and many texts."""
+    rows = [(100 + i, "c", f"{i} " + "w " * 9) for i in range(2000)] + [(key, "c", "same " * 10)] * 1000
+    rows += [(5000 + i, "a", "x " * 25) for i in range(600)] + [(6000 + i % 2, "b", f"{i} " + "y " * (i % 30)) for i in range(500)]
+    found = mixed(spark, rows)
+    check(rows, found)
+    assert sum(r.taken for r in found if r.source == "c") == pytest.approx(found[0].target if found[0].source == "c" else next(
+        r.target for r in found if r.source == "c"), abs=10)
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    out = Counter(r.source for r in mixing.mixed_rows(frame).collect())
+    assert out == Counter({s: sum(r.copies for r in found if r.source == s) for s in "abc"})
+    assert sorted((str(r.doc_id), r.taken) for r in found) == sorted((str(r.doc_id), r.taken) for r in mixed(spark, rows[::-1]))
