@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -53,6 +54,16 @@ def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], It
     return df.mapInArrow(function, schema)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: Python workers live on from stage to stage, and what
+    earlier ones used would count beside what later ones need."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(values, field.type) for values, field in zip(columns, schema)], schema=schema)
@@ -222,18 +233,29 @@ def _starts(table: pa.Table, keys: list[str]) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def keep_rows(docs: DataFrame, id_column: str, marked: DataFrame, keys_of) -> DataFrame:
+def whole_row(docs: DataFrame) -> Column:
+    """All columns in one struct, so that no generated name can clash with one of theirs."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return name
+
+
+def keep_rows(docs: DataFrame, id_column: str, text: str, marked: DataFrame, keys_of) -> DataFrame:
     """The rows of `docs` that `marked` (_id, _key, _kept; one row per document) keeps.
 
     Ids that one row has are decided by id alone, and only rows whose id may be among those not
-    simply kept are shuffled. For ids of several rows and for null ids `keys_of` computes each
-    row's key again, and one row of each kept (id, key) stays.
+    simply kept are shuffled. For ids of several rows and for null ids `keys_of` computes the key
+    of each row (`_row`, `_text`) again, and one row of each kept (id, key) stays. Columns of `docs`
+    may have any names.
     """
     ids = marked.groupBy("_id").agg(F.count(F.lit(1)).alias("_n"), F.max("_kept").alias("_any"))
     alone = (F.col("_n") == 1) & F.col("_id").isNotNull()
     others = written_table(ids.where(~alone | ~F.col("_any")), "other-ids")
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"),
-                       F.col(f"`{id_column}`").alias("_own_id")).where("_own_id is not null")
+    rows = docs.select(whole_row(docs).alias("_doc"), F.col(f"`{id_column}`").alias("_own_id")).where("_own_id is not null")
     named = others.where("_id is not null").select("_id")
     known = in_filter(rows, "_own_id", key_filter(named, "_id"))
     single = known.where("not _maybe").select("_doc").union(
@@ -241,10 +263,11 @@ def keep_rows(docs: DataFrame, id_column: str, marked: DataFrame, keys_of) -> Da
     repeated = others.where(~alone & F.col("_any"))
     if repeated.isEmpty():
         return single
-    same_id = F.col(id_column).eqNullSafe(F.col("_id"))
-    rest = docs.join(repeated, same_id, "left_semi").withColumn("_row", F.struct(*docs.columns))
-    one = keys_of(rest).toDF("_row", "_own").groupBy(f"_row.{id_column}", "_own").agg(
+    same_id = F.col("_own_id").eqNullSafe(F.col("_id"))
+    rest = docs.select(whole_row(docs).alias("_row"), F.col(f"`{id_column}`").alias("_own_id"),
+                       F.col(f"`{text}`").alias("_text")).join(repeated, same_id, "left_semi")
+    one = keys_of(rest).toDF("_row", "_own").groupBy(F.col("_row").getField(id_column).alias("_own_id"), "_own").agg(
         F.min("_row").alias("_row"))
     kept = marked.where("_kept").select("_id", "_key").distinct()
     one = one.join(kept, same_id & (F.col("_own") == F.col("_key")), "left_semi")
-    return single.unionByName(one.select("_row.*"))
+    return single.union(one.select("_row.*"))

@@ -245,6 +245,6 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     """The row with the least id of each group of equal texts, all columns; of rows that share
     that id one stays."""
     found = duplicates(docs, id_column, text)
-    return common.keep_rows(docs, id_column, found.select(
+    return common.keep_rows(docs, id_column, text, found.select(
         F.col(id_column).alias("_id"), F.col("digest").alias("_key"), F.col("kept").alias("_kept")),
-        lambda rows: digests(rows, "_row", text))
+        lambda rows: digests(rows, "_row", "_text"))

@@ -38,8 +38,11 @@ SMOOTHING = 20.0
 UNKNOWN_PRIOR = 1e-3
 
 _LETTER = re.compile(r"[^\W\d_]")
-_HIDDEN = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
-_DECLARED = re.compile(r"""(?is)<html\b[^>]*?\blang\s*=\s*["']?([a-z]{2,3})""")
+_HIDING = re.compile(r"<!--|<(?:script|style)\b", re.I)
+_ENDS = {"<!--": re.compile("-->"), "<script": re.compile(r"</script\s*>", re.I), "<style": re.compile(r"</style\s*>", re.I)}
+_HTML = re.compile(r"<html(?=[\s/>])", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_CODE = re.compile("[a-z]{2,3}", re.I)
 
 
 def trigram_places(text: str, size: int = 1 << 20) -> Iterator[np.ndarray]:
@@ -252,12 +255,42 @@ def _address_parts(address: Column) -> list[Column]:
             F.coalesce(domain, F.lit("")).alias("domain")]
 
 
+def _declared_in(tag: str) -> str | None:
+    """The language code in the `lang` attribute of a tag."""
+    for name, value in _ATTRIBUTE.findall(tag):
+        if name.lower() == "lang":
+            code = _CODE.match(value.strip("\"'"))
+            return code[0].lower() if code else None
+    return None
+
+
 def visible(markup: str | None) -> tuple[str, str | None]:
-    """Text outside tags, scripts, styles and comments, and the declared language."""
+    """Text outside tags, scripts, styles and comments, and the language that the first html tag
+    declares. One pass: once an end is not found, no construct that needs it is looked for again.
+    What is never closed counts as text."""
     if not markup:
         return "", None
-    said = _DECLARED.search(markup)
-    return html.unescape(_HIDDEN.sub(" ", markup)), said[1].lower() if said else None
+    out, at, declared, seen, open_ended = [], 0, None, False, set()
+    while (start := markup.find("<", at)) >= 0:
+        out.append(markup[at:start])
+        end = -1
+        hidden = _HIDING.match(markup, start)
+        if hidden and hidden[0].lower() not in open_ended:
+            closed = _ENDS[hidden[0].lower()].search(markup, hidden.end())
+            if closed:
+                end = closed.end()
+            else:
+                open_ended.add(hidden[0].lower())
+        if end < 0:
+            end = markup.find(">", start) + 1
+            if not end:
+                out.append(markup[start:])
+                return html.unescape("".join(out)), declared
+            if not seen and _HTML.match(markup, start):
+                seen, declared = True, _declared_in(markup[start + 5:end - 1])
+        out.append(" ")
+        at = end
+    return html.unescape("".join([*out, markup[at:]])), declared
 
 
 def identify_pages(pages: DataFrame, model: TextModel) -> DataFrame:
@@ -280,9 +313,10 @@ def identify_pages(pages: DataFrame, model: TextModel) -> DataFrame:
 def accepted(docs: DataFrame, text: str = "text", declared: str = "lang",
              source: str = "source") -> DataFrame:
     """The rows of `docs` whose language is known, all columns, with the label column as the
-    declaration and the source in the place of the host."""
+    declaration and the source in the place of the host. Columns may have any names."""
     model = fit(docs, text, declared)
+    aside = common.free_name(docs, "_aside")
     rows = docs.select(*(F.col(f"`{c}`") for c in docs.columns), F.struct(
-        *(F.col(f"`{c}`") for c in docs.columns if c in ADDED), F.lit(0)).alias("_clashing"))
+        *(F.col(f"`{c}`") for c in docs.columns if c in ADDED), F.lit(0).alias("_")).alias(aside))
     found = identify(rows, model, text, declared, [source]).where(F.col("language") != UNKNOWN)
-    return found.select(*(F.col(f"_clashing.{c}" if c in ADDED else f"`{c}`").alias(c) for c in docs.columns))
+    return found.select(*(F.col(aside).getField(c).alias(c) if c in ADDED else F.col(f"`{c}`") for c in docs.columns))

@@ -151,7 +151,7 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", shi
     """The row with the least id of each component, all columns. Of rows that share that id one
     stays; a component without any id keeps one row."""
     found = near_duplicates(docs, id_column, text, shingle, radius)
-    return common.keep_rows(docs, id_column, found.select(
+    return common.keep_rows(docs, id_column, text, found.select(
         F.col(id_column).alias("_id"), F.col("fp").alias("_key"),
         F.col(id_column).eqNullSafe(F.col("component_id")).alias("_kept")),
-        lambda rows: fingerprints(rows, "_row", text, shingle))
+        lambda rows: fingerprints(rows, "_row", "_text", shingle))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -142,3 +143,24 @@ def test_copies_count_once_and_every_label_is_fitted(spark, labelled):
     first, second = L.fit(most, rows=30), L.fit(copies, rows=30)
     assert second.languages == ("de", "en", "fr")
     assert first.languages == second.languages and np.array_equal(first.logs, second.logs)
+
+
+HOSTILE = ("<html ", "<script ", "<!-- ", "<style>", "</script", "<a b='", "<script></script  ", '<html a="', "<html" + " x", "< ")
+
+
+@pytest.mark.parametrize("pattern", HOSTILE)
+def test_markup_takes_time_in_proportion_to_its_length(pattern):
+    page = pattern * (1_000_000 // len(pattern))
+    started = time.perf_counter()
+    L.visible(page)
+    L.visible("<html " + page + ">")
+    assert time.perf_counter() - started < 5
+
+
+def test_what_is_visible():
+    assert L.visible("a<b>c</b><!-- <p>x</p> -->d<script>1 < 2</SCRIPT >e<style>p{}</style>f &amp; g") == ("a c  d e f & g", None)
+    assert L.visible("a <!-- never closed <b>c") == ("a  c", None)
+    assert L.visible("1 < 2 and <script>x") == ("1  x", None) and L.visible("1 < 2") == ("1 < 2", None)
+    assert L.visible('<!-- <html lang="de"> --><html data-lang="de" lang="fr">x') == ("  x", "fr")
+    assert L.visible("<html title='a lang=de' LANG = EN-us>")[1] == "en"
+    assert L.visible("<html><html lang=de>")[1] is None and L.visible("<htmlx lang=de>")[1] is None
