@@ -157,7 +157,7 @@ def _sweep_steps(text: np.ndarray, small: np.ndarray, lms: np.ndarray, alphabet:
     return np.array(order, np.int64)
 
 
-def permuted_prefixes(text: np.ndarray, order: np.ndarray, cap: int, lane: int = 256) -> np.ndarray:
+def permuted_prefixes(text: np.ndarray, order: np.ndarray, cap: int, lane: int = 32) -> np.ndarray:
     """At each place, the length of the prefix that its suffix shares with the suffix before it
     in the order, up to `cap`. Along the text it falls by at most one per place; lanes of
     neighbouring places are followed side by side, several symbols at a time."""

@@ -88,8 +88,9 @@ def _anchors(rows: DataFrame, length: int) -> DataFrame:
     return common.map_batches(rows.select("text"), of_batches, "anchor long")
 
 
-def _candidates(rows: DataFrame, length: int) -> DataFrame:
-    """(key, start, n, anchor, digest) of all stretches; start counts from the text's start."""
+def _candidates(rows: DataFrame, length: int, bits: np.ndarray) -> DataFrame:
+    """(key, start, n, anchor, digest) of the stretches whose anchor may be among `bits`; start counts
+    from the text's start."""
     schema = pa.schema([("key", pa.binary()), ("start", pa.int64()), ("n", pa.int32()),
                         ("anchor", pa.int64()), ("digest", pa.binary())])
 
@@ -99,6 +100,8 @@ def _candidates(rows: DataFrame, length: int) -> DataFrame:
             begins = np.append(0, ends[:-1])
             whole, keys = data.tobytes(), batch.column("key")
             for starts, counts, hashes in stretches(data, ends, length):
+                maybe = common.among_bits(hashes, bits)
+                starts, counts, hashes = starts[maybe], counts[maybe], hashes[maybe]
                 text = np.searchsorted(ends, starts, side="right")
                 digests = [blake2b(whole[s:e], digest_size=16).digest() for s, e in zip(
                     starts.tolist(), (starts + counts + length - 1).tolist())]
@@ -110,8 +113,35 @@ def _candidates(rows: DataFrame, length: int) -> DataFrame:
                               "key binary, start long, n int, anchor long, digest binary")
 
 
+def _may_repeat(texts: list[bytes], length: int) -> np.ndarray:
+    """Which of the texts have a window whose hash the list holds twice. Equal windows have equal
+    hashes, so no other text has a window that occurs again."""
+    sizes = np.array([len(t) for t in texts])
+    data, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum(sizes)
+    hashes = np.concatenate([rolling(data[at:at + _SPAN], length) for at in range(0, len(data) - length + 1, _SPAN - length + 1)])
+    owner = np.repeat(np.arange(len(texts)), sizes)[:len(hashes)]
+    inside = np.flatnonzero(np.arange(len(hashes)) + length <= ends[owner])
+    order = inside[np.argsort(hashes[inside], kind="stable")]
+    twice = np.flatnonzero(hashes[order[1:]] == hashes[order[:-1]])
+    found = np.zeros(len(texts), bool)
+    found[owner[order[twice]]] = True
+    found[owner[order[twice + 1]]] = True
+    return found
+
+
 def repeated_windows(stretch_texts: list[bytes], length: int) -> list[np.ndarray]:
-    """For each of the different texts: which of its windows occur again in the list."""
+    """For each of the different texts: which of its windows occur again in the list. Texts that
+    cannot have any are left out of the array."""
+    kept = np.flatnonzero(_may_repeat(stretch_texts, length)).tolist()
+    found = [np.zeros(len(t) - length + 1, bool) for t in stretch_texts]
+    if kept:
+        for at, windows in zip(kept, _judged([stretch_texts[i] for i in kept], length), strict=True):
+            found[at] = windows
+    return found
+
+
+def _judged(stretch_texts: list[bytes], length: int) -> list[np.ndarray]:
+    """The same of all texts, by their suffix array."""
     sizes = np.array([len(t) for t in stretch_texts])
     starts = np.cumsum(np.append(0, sizes[:-1] + 1))
     joined = np.frombuffer(b"\0".join(stretch_texts), np.uint8).astype(np.int64) + 1
@@ -188,7 +218,7 @@ def repeated(docs: DataFrame, id_column: str, text: str, length: int, most: int)
     rows = rows.withColumn("key", F.unhex(F.md5("text")))
     again = written_table(_anchors(rows, length).groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
                           .where("n > 1").select("anchor"), "repeated-anchors")
-    found = common.in_filter(_candidates(rows, length), "anchor", common.key_filter(again, "anchor")).where("_maybe")
+    found = _candidates(rows, length, common.key_bits(again, "anchor"))
     # Copies of a text have the same stretches: they are merged here, and counted.
     found = written_table(found.groupBy("anchor", "digest", "key", "start", "n").agg(
         F.count(F.lit(1)).alias("copies")), "stretches")
