@@ -24,6 +24,9 @@ from tallyrate.storage import written_table
 # Bytes that a cut depends on, mean chunk length as a power of two, least and greatest length.
 WINDOW, MEAN_BITS, LEAST, MOST = 48, 10, 256, 8192
 
+# Bytes of text whose ids and decoded texts a worker holds.
+BATCH_BYTES = 2 << 20
+
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _SPAN = 1 << 20
@@ -127,10 +130,11 @@ def encode_with(path: str, text: str, shared: dict[bytes, tuple[str, bytes, str
 def _occurrences(rows: DataFrame) -> DataFrame:
     """(chunk, key): the distinct chunks of each document."""
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.release_memory()
         schema = pa.schema([("chunk", pa.binary()), ("key", pa.int64())])
         for batch in common.byte_sized(batches, "text"):
             found, keys = [], []
-            for text, key in zip(batch.column("text").to_pylist(), batch.column("key").to_pylist()):
+            for key, text in dict(zip(batch.column("key").to_pylist(), batch.column("text").to_pylist())).items():
                 own = {digest for digest, _ in chunks(_utf8(text))}
                 found += own
                 keys += [key] * len(own)
@@ -146,6 +150,7 @@ def _shared_parts(rows: DataFrame, shared: DataFrame, path: str) -> DataFrame:
         "key", "text").join(owned, "key").select("text", "owned")
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.release_memory()
         schema = pa.schema([("chunk", pa.binary()), ("head", pa.string()), ("ids", pa.binary()),
                             ("tail", pa.string())])
         for batch in common.byte_sized(batches, "text"):
@@ -163,15 +168,16 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text: str = "t
     """One row per document: id, `ids` (array of int) and `decoded`, as the tokenizer's own
     library gives them without added special tokens.
 
-    A null text counts as empty and has no ids. Repeated rows each have their row. Rows are told
-    apart by a hash of id and text; two that share it would only encode more by themselves.
+    A null text counts as empty and has no ids. Repeated rows each have their row; a text that a
+    batch holds more than once is encoded once. Texts may be of any length. Rows are told apart by a hash of id and text; two that share it would only encode more by themselves.
     Other columns of `docs` are not read.
     """
     rows = common.columns_of(docs, id=id_column, text=text)
     rows = rows.select("id", "text", F.xxhash64("id", "text").alias("key"))
     seen = written_table(_occurrences(rows), "chunks")
-    shared = written_table(seen.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("owner"))
-                           .where("n > 1"), "shared-chunks")
+    # Repeated rows have one key: a chunk is shared when different documents have it.
+    shared = written_table(seen.groupBy("chunk").agg(F.min("key").alias("owner"), F.max("key").alias("other"))
+                           .where("owner < other").drop("other"), "shared-chunks")
     parts = written_table(_shared_parts(rows, shared, path), "encoded-chunks")
     # Both sides are plain scans, so a chunk that many documents share can be split.
     users = written_table(seen.join(parts, "chunk"), "chunk-users")
@@ -186,15 +192,19 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text: str = "t
                            T.StructField("decoded", T.StringType())])
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.byte_sized(batches, "text"):
-            encoded = []
-            for text, parts in zip(batch.column("text").to_pylist(), batch.column("parts").to_pylist()):
-                own = {x["chunk"]: (x["part"]["head"], x["part"]["ids"], x["part"]["tail"])
-                       for x in parts or ()}
-                encoded.append(encode_with(path, text or "", own))
+        common.release_memory()
+        for batch in common.byte_sized(batches, "text", BATCH_BYTES):
+            encoded, decoded, done = [], [], {}
+            for text, parts in zip(batch.column("text").to_pylist(), batch.column("parts")):
+                if text not in done:
+                    own = {x["chunk"]: (x["part"]["head"], x["part"]["ids"], x["part"]["tail"])
+                           for x in parts.as_py() or ()}
+                    ids = encode_with(path, text or "", own)
+                    done[text] = ids, tokens.decode(path, np.frombuffer(ids, "<i4").tolist())
+                encoded.append(done[text][0])
+                decoded.append(done[text][1])
             ids = np.frombuffer(b"".join(encoded), "<i4")
             ends = np.cumsum([0, *(len(x) // 4 for x in encoded)])
-            decoded = [tokens.decode(path, ids[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays([
                 batch.column("id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
                 pa.array(decoded, pa.string())], names=["id", "ids", "decoded"])

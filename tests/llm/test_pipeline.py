@@ -97,3 +97,13 @@ def test_empty_documents(spark):
 def test_near_copies_are_within_the_radius(texts):
     prints = [slow_fingerprint(t, 3) for t in texts]
     assert [simhash.fingerprint(t, 3) for t in texts] == prints
+
+
+def test_a_run_leaves_only_its_output(spark, texts, tmp_path, monkeypatch):
+    from tallyrate import storage
+    monkeypatch.setattr(storage, "shared_folder", lambda _: str(tmp_path / "shared"))
+    documents(spark, texts, extra=False).write.parquet(str(tmp_path / "sf" / "documents.parquet"))
+    with storage.scope(spark) as tables:
+        result = tables.keep(corpus_pipeline.run(spark, str(tmp_path / "sf")), "result")
+    left = [folder.name for folder in (tmp_path / "shared").glob("*/*")]
+    assert len(left) == 1 and left[0].startswith("result-") and result.count() > 0

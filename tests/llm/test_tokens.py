@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyrate.llm import bpe, token_counts, tokens
 from tests.llm.fixtures import ODD_TEXTS, documents, random_text
@@ -73,11 +74,41 @@ def test_counts_match_the_library(spark, texts, name):
 
 
 def test_a_small_cache_changes_nothing(texts, monkeypatch):
-    monkeypatch.setattr(tokens, "HELD", 10)
     path = tokens.public_path(FILES[0])
-    cache = tokens.PieceCache(path, len)
     found = tokens.pieces(texts[-4])[1:]
-    assert cache.of_spaced(found) == [tokens.length_cache(path).of_spaced([p])[0] for p in found]
+    want = [len(tokens.load(path).encode(" " + p, add_special_tokens=False).ids) for p in found]
+    for held, longest, joined in ((10, 400, 1 << 17), (5000, 3, 50), (64 << 20, 400, 1)):
+        monkeypatch.setattr(tokens, "HELD", held)
+        monkeypatch.setattr(tokens, "LONGEST", longest)
+        monkeypatch.setattr(tokens, "JOINED", joined)
+        cache = tokens.PieceCache(path, len)
+        assert cache.of_spaced(found) == want
+        assert [n for at in range(0, len(found), 77) for n in cache.of_spaced(found[at:at + 77])] == want
+
+
+def test_the_cache_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(tokens, "HELD", 100_000)
+    cache = tokens.PieceCache(tokens.public_path(FILES[0]), len)
+    for start in range(0, 20_000, 500):
+        cache.of_spaced([f"word{i}" for i in range(start, start + 500)] + ["x" * 5000 + str(start)])
+    for kept in (cache.young, cache.old):
+        assert 0 < sum(tokens.ENTRY + 2 * len(p) for p in kept) <= 100_000 + tokens.ENTRY + 2 * tokens.LONGEST
+        assert max(map(len, kept)) <= tokens.LONGEST
+    assert cache.of_spaced(["word19999"]) == tokens.PieceCache(tokens.public_path(FILES[0]), len).of_spaced(["word19999"])
+
+
+def test_repeated_rows_share_no_chunk(spark):
+    rng = random.Random(8)
+    unlike = [" ".join(f"{rng.getrandbits(40):x}" for _ in range(600)) for _ in range(12)]
+    docs = documents(spark, unlike)
+    rows = docs.union(docs).union(docs).selectExpr("doc_id as id", "text", "xxhash64(doc_id, text) as key")
+    seen = bpe._occurrences(rows)
+    assert seen.groupBy("chunk").agg({"key": "min"}).count() == seen.distinct().count() > 50
+    assert seen.groupBy("chunk").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a < b").count() == 0
+    path = tokens.public_path(FILES[0])
+    once = {r.doc_id: (r.ids, r.decoded) for r in bpe.encode(docs, path).collect()}
+    thrice = bpe.encode(docs.union(docs).union(docs), path).collect()
+    assert len(thrice) == 36 and all(once[r.doc_id] == (r.ids, r.decoded) for r in thrice)
 
 
 def test_empty_tables(spark):
