@@ -27,7 +27,7 @@ def optimized(df) -> str:
 RELATIONAL = [name for name in CORE_SQL if name not in (
     *property_queries.QUERIES, "vector_index_values",
     "assemble_features", "vector_index", "max_abs_scale_vector", "vector_element", "vector_from_array",
-    "rate_table_roundtrip", "one_hot", "string_index_stage", "model_roundtrip",
+    "rate_table_roundtrip", "vector_text_rates", "one_hot", "string_index_stage", "label_index_pipeline", "model_roundtrip",
     "learned_zone_totals")]
 
 
