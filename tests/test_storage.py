@@ -116,3 +116,19 @@ def test_fill_goes_on_over_partitions(spark, settings, partitions):
         want.append((g, o, held[g]))
     key = lambda r: (r[0] or "", -1 if r[1] is None else r[1], r[2])
     assert sorted(map(tuple, found), key=key) == sorted(want, key=key)
+
+
+def test_single_partitions_of_a_union_stay_tasks(spark):
+    before = spark.conf.get("spark.sql.unionOutputPartitioning", None)
+    with storage.separate_unions(spark):
+        parts = [spark.range(3).coalesce(1) for _ in range(4)]
+        both = parts[0].union(parts[1]).union(parts[2]).union(parts[3]).select(F.spark_partition_id().alias("task"))
+        assert both.distinct().count() == 4
+    assert spark.conf.get("spark.sql.unionOutputPartitioning", None) == before
+
+
+def test_table_with_a_folder_for_each_value(spark):
+    table = storage.written_table(spark.range(10).selectExpr("id", "id % 3 as kind"), "kinds", by="kind")
+    some = table.where("kind = 2")
+    assert sorted(tuple(r) for r in some.collect()) == [(2, 2), (5, 2), (8, 2)]
+    assert len({f.rsplit("/", 2)[1] for f in table.inputFiles()}) == 3
