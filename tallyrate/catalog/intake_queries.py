@@ -70,8 +70,9 @@ _MERGED = f"""
 
 @query(f"with {_MERGED} select index, period, loc_x, shot_made_flag, note from merged")
 def attempts_by_header(spark, sf_dir):
-    """Files with permuted, absent and additional columns, merged by name."""
-    return by_header.read_by_name(spark, _attempt_files(spark, sf_dir))
+    """Files with permuted, absent and additional columns, merged by name. Small tables have no file with notes."""
+    merged = by_header.read_by_name(spark, _attempt_files(spark, sf_dir))
+    return merged if "note" in merged.columns else merged.withColumn("note", F.lit(None).cast("string"))
 
 
 def _spoiled(line: Column, key: Column) -> Column:
